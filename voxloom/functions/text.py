@@ -17,7 +17,7 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-_WORD = f"[^{WHITESPACE}]+"
+_BETWEEN_WORDS = r"(?U)[\s\x1c-\x1f]+"  # the same characters as a pattern
 
 
 def nfkc(text: Column) -> Column:
@@ -25,6 +25,8 @@ def nfkc(text: Column) -> Column:
 
     Spark ships ICU for its collations; its composer is a static method, so the
     built-in reflection function reaches it and no Python worker is involved.
+    Spark treats reflection as non-deterministic: it runs once per row and later
+    filters stay above it, so filter on other columns before normalising.
     """
     composed = F.java_method(
         F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), F.coalesce(text, F.lit("")), F.lit(True)
@@ -66,7 +68,7 @@ def num_chars(text: Column) -> Column:
 
 
 def num_words(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(_WORD))
+    return F.size(F.array_remove(F.split(text, _BETWEEN_WORDS), ""))
 
 
 def rounded_ratio(numerator: Column, denominator: Column, digits: int = 4) -> Column:

@@ -18,6 +18,9 @@ from ..session import small_side
 from ..specs import SourceSpec
 
 
+MAX_FILES = 1_000_000  # per-file offsets (about 100 bytes each) are broadcast up to this many files
+
+
 def block_offsets(blocks: DataFrame, keys: Sequence[str], order: Sequence[str], count: str, offset: str) -> DataFrame:
     """Rows before each block of its key; ``blocks`` holds one row per block."""
     w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
@@ -67,7 +70,7 @@ def with_file_index(df: DataFrame, keys: Sequence[str], file: str = "_file", pos
         offsets = (
             offsets.join(base, list(keys), "left") if keys else offsets.crossJoin(base)
         ).withColumn("_offset", F.col("_offset") + F.coalesce("base", F.lit(0))).drop("base")
-    joined = df.join(small_side(offsets), [*keys, file])
+    joined = df.join(small_side(offsets, MAX_FILES), [*keys, file])
     return joined.withColumn(out, F.col("_offset") + F.col(position)).drop("_offset")
 
 

@@ -9,6 +9,7 @@ from voxloom.operators.joins import without_existing
 from voxloom.plans import merge
 from voxloom.session import scratch_path
 from voxloom.sinks import files
+from voxloom.specs import spec_for
 
 from . import query
 from .signals import wav_bytes
@@ -18,7 +19,7 @@ from .tables import RATE, SQL_ANNOTATED, annotated, documents, long, table
 @query("write_shards", "SELECT source, lang AS split, count(*)::BIGINT AS n_rows, true AS within_limit FROM documents GROUP BY source, lang")
 def write_shards(spark, d):
     """Row-limited files per split, read back."""
-    limit = 20
+    limit = spec_for("mshojaei").rows_per_file
     out = scratch_path(spark, "shards")
     files.write_shards(documents(spark, d), out, limit, ("source", "split"))
     per_file = spark.read.parquet(out).groupBy("source", "split", F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from voxloom.plans import build as batch
 from voxloom.session import scratch_path
+from voxloom.sources.files import list_files
 from voxloom.specs import SourceSpec
 from voxloom.streaming import totals
 from voxloom.streaming.incremental import IncrementalBuild
 
 from . import query
-from .tables import PARAMS, SQL_SIGNAL, long, sql_normal, sql_words, table
+from .tables import PARAMS, SQL_SIGNAL, sql_normal, sql_words, table
 
 FEED = SourceSpec(
     "feed", "feed", ("text",), audio_kind="samples", rate_col="samplerate", speaker_rule="column", speaker="label",
@@ -25,13 +26,18 @@ feed AS (SELECT doc_id, length(t) AS num_chars, {sql_words('t')} AS num_words, g
          FROM (SELECT doc_id, {sql_normal('text')} AS t FROM documents) LEFT JOIN signal g ON vec_id = doc_id)"""
 
 
-def raw_feed(spark, d, files: int = 4) -> str:
-    """Raw files of a source with text, samples and rate, made from the tables."""
+def thirds(spark, path: str) -> int:
+    """Files per micro-batch that make about three batches."""
+    return max(1, -(-list_files(spark, path, recursive=True).count() // 3))
+
+
+def raw_feed(spark, d) -> str:
+    """Raw files of a source with text, samples and rate, made from the tables; as many as the data gives."""
     root = scratch_path(spark, "raw")
-    docs = table(spark, d, "documents").select("doc_id", "text")
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     audio = table(spark, d, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.col("embedding").alias("audio"), "label", F.lit("16.0").alias("samplerate"))
-    docs.join(audio, "doc_id", "left").repartitionByRange(files, "doc_id").write.parquet(f"{root}/{FEED.path}")
+    docs.join(audio, "doc_id", "left").write.partitionBy("lang").parquet(f"{root}/{FEED.path}")
     return root
 
 
@@ -60,7 +66,8 @@ SELECT count(*)::BIGINT AS rows_in, count_if(reason IS NULL)::BIGINT AS kept, co
        (count_if(reason IS NULL) * 40000)::BIGINT AS ticks, count(*)::BIGINT AS next_index, true AS ids_unique FROM feed""")
 def incremental_build(spark, d):
     """The same source file by file with a checkpoint; a second run finds nothing left to do."""
-    job = IncrementalBuild(spark, FEED, raw_feed(spark, d), scratch_path(spark, "incremental"), files_per_batch=1)
+    raw = raw_feed(spark, d)
+    job = IncrementalBuild(spark, FEED, raw, scratch_path(spark, "incremental"), files_per_batch=thirds(spark, raw))
     job.run()
     job.run()
     ids = job.rows().select("utt_id").groupBy("utt_id").agg(F.count(F.lit(1)).alias("n")).agg(
@@ -84,9 +91,9 @@ def stream_read(spark, d):
 def stream_totals(spark, d):
     """Running totals per key over several micro-batches; the last update of each key counts."""
     root = scratch_path(spark, "stream-totals")
-    events = table(spark, d, "events").select("event_id", "event_type", "value")
-    events.repartitionByRange(3, "event_id").write.parquet(f"{root}/in")
-    stream = totals.file_stream(spark, f"{root}/in", events.schema, files_per_trigger=1)
+    events = table(spark, d, "events").select("event_type", "value", F.col("user_id").alias("user"), F.dayofweek("ts").alias("day"))
+    events.write.partitionBy("day").parquet(f"{root}/in")
+    stream = totals.file_stream(spark, f"{root}/in", events.schema, thirds(spark, f"{root}/in"))
     cents = F.sum(F.round(F.col("value") * 100).cast("long"))
     running = totals.running_totals(stream, ["event_type"], n_rows=F.count(F.lit(1)), cents=cents)
     totals.run_to_table(running, f"{root}/out", f"{root}/checkpoint", "update")
@@ -97,9 +104,9 @@ def stream_totals(spark, d):
 def stream_dedup(spark, d):
     """One row per key over several micro-batches; equal texts stand for equal ids."""
     root = scratch_path(spark, "stream-dedup")
-    ids = table(spark, d, "documents").select("doc_id", F.md5("text").alias("utt_id"))
-    ids.repartitionByRange(3, "doc_id").write.parquet(f"{root}/in")
-    stream = totals.file_stream(spark, f"{root}/in", ids.schema, files_per_trigger=1)
+    ids = table(spark, d, "documents").select("doc_id", F.md5("text").alias("utt_id"), "lang")
+    ids.write.partitionBy("lang").parquet(f"{root}/in")
+    stream = totals.file_stream(spark, f"{root}/in", ids.schema, thirds(spark, f"{root}/in"))
     totals.run_to_table(totals.stream_dedup(stream, ["utt_id"]), f"{root}/out", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/out").select("utt_id")
 
@@ -114,5 +121,3 @@ def live_counters(spark, d):
     seen = values()["n"]
     return spark.read.parquet(out).groupBy("source").agg(F.count(F.lit(1)).alias("n_rows")).withColumn("observed", F.lit(seen).cast("long"))
 
-
-__all__ = ["FEED", "long", "raw_feed"]
