@@ -25,6 +25,8 @@ def decode_wav(data: bytes) -> tuple[np.ndarray, int]:
         name, size = data[at:at + 4], int.from_bytes(data[at + 4:at + 8], "little")
         chunk = memoryview(data)[at + 8:at + 8 + size]
         if name == b"fmt ":
+            if len(chunk) < 16:
+                raise ValueError("incomplete wav")
             tag, channels = np.frombuffer(chunk, "<u2", 2).tolist()
             rate = int(np.frombuffer(chunk, "<u4", 1, 4)[0])
             bits = int(np.frombuffer(chunk, "<u2", 1, 14)[0])
