@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from signals import tone, wav, with_run
-from voxloom.operators import quality
+from voxloom.operators import joins, quality
 from voxloom.plans import build as plan
-from voxloom.plans import merge, report
+from voxloom.plans import merge, pack, repair, report
 from voxloom.sinks import files as sinks
 from voxloom.sources import files, metadata, scan
 from voxloom.specs import REGISTRY, SourceSpec, spec_for
@@ -246,3 +246,70 @@ def test_registry():
     assert {s.name for s in REGISTRY if s.signal.max_s == 30.0} == {"vhdm", "asr_fa_v1", "mana_tts"}
     assert all(s.signal.min_run == 160 for s in REGISTRY)
     assert np.isclose(spec_for("kiarash").signal.clip_amp, 0.999)
+
+
+def test_incremental_configs(spark, tmp_path):
+    raw = tmp_path / "raw/srezas"
+    put(raw / "fleurs/test-0.parquet", audio=encoded(tone(8000)), sentence=["a"])
+    put(raw / "youtube/chan-0.parquet", audio=encoded(tone(8000), tone(8)), sentence=["b", "c"])
+    job = IncrementalBuild(spark, spec_for("srezas"), str(tmp_path / "raw"), str(tmp_path / "inc"), files_per_batch=1)
+    job.run()
+    put(raw / "youtube/chan-1.parquet", audio=encoded(tone(8000)), sentence=["d"])
+    job.run()
+    assert state(job) == [("srezas_fleurs_test_00000000", "a"), ("srezas_youtube_chan_00000000", "b"), ("srezas_youtube_chan_00000002", "d")]
+    done = {(r.split): (r.rows_in, r.kept) for r in job.progress().groupBy("split").agg(F.sum("rows_in").alias("rows_in"), F.sum("kept").alias("kept")).collect()}
+    assert done == {"fleurs_test": (1, 1), "youtube_chan": (3, 2)}
+
+
+def test_dedup_table(spark, tmp_path):
+    put(tmp_path / "raw/m522t/data/train-0.parquet", audio=encoded(*[tone(8000)] * 4), sentence=list("abcd"))
+    paths = plan.build(spark, spec_for("m522t"), str(tmp_path / "raw"), str(tmp_path / "out"))
+    corpus, good = str(tmp_path / "corpus"), plan.kept_rows(spark, paths)
+    again = good.filter("text in ('a', 'b')").withColumn("text", F.lit("later"))
+    good.coalesce(1).write.partitionBy("source", "split").parquet(corpus)
+    again.coalesce(1).write.mode("append").partitionBy("source", "split").parquet(corpus)
+    with pytest.raises(repair.CheckFailed, match="not unique"):
+        repair.require_good(spark.read.parquet(corpus))
+    counts = repair.dedup_table(spark, corpus)
+    assert counts == {"rows_before": 6, "rows_after": 4, "removed": 2}
+    assert spark.read.parquet(corpus).select("utt_id").distinct().count() == spark.read.parquet(corpus).count() == 4
+    assert repair.failures(spark.read.parquet(corpus)) == []
+    assert repair.dedup_table(spark, corpus)["removed"] == 0
+
+
+def test_pack(spark, tmp_path):
+    wavs = tmp_path / "wav"
+    wavs.mkdir()
+    (wavs / "rec0001.wav").write_bytes(wav(tone(8000)))
+    (tmp_path / "metadata.csv").write_text("rec0001|one|more\nrec0002|two\n", encoding="utf-8")
+    out = str(tmp_path / "raw/pertts/train")
+    assert pack.pack(spark, str(tmp_path / "metadata.csv"), str(wavs), out) == 1
+    assert pack.pack(spark, str(tmp_path / "metadata.csv"), str(wavs), out) is None
+    (row,) = spark.read.parquet(out).collect()
+    assert row.sentence == "one|more" and row.audio.path is None and row.audio.bytes[:4] == b"RIFF"
+
+
+def test_resolve_paths(spark, tmp_path):
+    (tmp_path / "a.wav").write_bytes(b"AAA")
+    rows = spark.createDataFrame([(1, (b"x", "a.wav")), (2, (None, "deep/a.wav")), (3, (bytearray(), "b.wav")), (4, (None, None)), (5, None)],
+                                 "i int, audio struct<bytes:binary,path:string>")
+    got = {r.i: r.audio and r.audio.bytes and bytes(r.audio.bytes) for r in joins.resolve_paths(rows, scan.binary_files(spark, str(tmp_path))).collect()}
+    assert got == {1: b"x", 2: b"AAA", 3: None, 4: None, 5: None}
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    from voxloom.__main__ import main
+
+    raw, out, corpus = str(tmp_path / "raw"), str(tmp_path / "out"), str(tmp_path / "corpus")
+    put(tmp_path / "raw/m522t/data/train-0.parquet", audio=encoded(tone(8000), tone(8)), sentence=list("ab"))
+    put(tmp_path / "raw/kiarash/x.parquet", audio=pa.array([wav(tone(8000))], pa.binary()), text=["c"])
+    main(["profile", "--raw", raw])
+    for source in ("m522t", "kiarash"):
+        main(["build", source, "--raw", raw, "--out", out])
+    main(["merge", "m522t", "kiarash", "--out", out, "--corpus", corpus])
+    main(["report", "--corpus", corpus])
+    main(["check", "--corpus", corpus])
+    main(["dedup", "--corpus", corpus])
+    text = capsys.readouterr().out
+    assert '{"splits":["kiarash_train","m522t_train"]}' in text and "all checks passed" in text
+    assert spark.read.parquet(corpus).count() == 2

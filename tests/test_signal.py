@@ -90,8 +90,17 @@ def test_downmix(spark):
 
 
 def test_source_rate(spark):
-    rows = spark.createDataFrame([(None,), ("44100.0",), ("8000",)], "r string")
-    assert [r[0] for r in rows.select(sig.source_rate(F.col("r"))).collect()] == [16000, 44100, 8000]
+    rows = spark.createDataFrame([(None,), ("44100.0",), ("8000",), ("fast",)], "r string")
+    assert [r[0] for r in rows.select(sig.source_rate(F.col("r"))).collect()] == [16000, 44100, 8000, None]
+
+
+def test_bad_rates_and_empty_arrays(spark):
+    assert [r.error for r in staged(spark, [tone(8000)], gate=False)] == [None]
+    bad = frame(spark, [tone(8000)]).select(samples_stage(PARAMS)(F.col("x"), F.lit(None).cast("int")).alias("s")).head()[0]
+    assert bad.error == "bad rate None"
+    empty = spark.createDataFrame([([],)], "x array<float>")
+    got = empty.select(sig.mean(F.col("x")).alias("m"), sig.condition(F.col("x")).alias("y"), sig.max_clip_run(F.col("x"), 0.9).alias("r")).head()
+    assert (got.m, got.y, got.r) == (None, [], 0)
 
 
 @pytest.mark.parametrize("fmt, step", [("u8", 1 / 100), ("s16", 1 / 32000), ("s24", 1 / 8e6), ("s32", 1e-7), ("f32", 1e-7)])

@@ -88,13 +88,13 @@ class _Batch:
     def fail(self, row: int, reason: str) -> None:
         self.columns["error"][row] = reason
 
-    def add(self, row: int, x: np.ndarray, rate: int) -> None:
+    def add(self, row: int, x: np.ndarray, rate: int | None) -> None:
         p = self.params
         if x.ndim > 1:
             x = x.mean(axis=-1, dtype=np.float64).astype(np.float32)
         if len(x) == 0:
             return self.fail(row, "no audio")
-        if rate <= 0:
+        if rate is None or rate <= 0:
             return self.fail(row, f"bad rate {rate}")
         n = codec.resampled_length(len(x), rate, p.target_sr)
         self.columns["n_samples"][row] = n
@@ -152,7 +152,7 @@ def samples_stage(params: SignalParams, keep_samples: bool = True, gate: bool =
             if x is None or len(x) == 0:
                 batch.fail(row, "no audio")
             else:
-                batch.add(row, x, params.target_sr if sr is None else sr)
+                batch.add(row, x, sr)
         return batch.finish()
 
     run.__annotations__ = {"samples": pa.Array, "rate": pa.Array, "return": pa.Array}

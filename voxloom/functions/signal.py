@@ -30,12 +30,17 @@ def _total(x: Column, term: Callable[[Column], Column]) -> Column:
     return F.aggregate(x, F.lit(0.0), lambda acc, v: acc + term(v))
 
 
+def _count(x: Column) -> Column:
+    """Number of samples; null for none, so that means of nothing are null."""
+    return F.nullif(F.size(x), F.lit(0))
+
+
 def mean(x: Column) -> Column:
-    return _total(x, lambda v: v.cast("double")) / F.size(x)
+    return _total(x, lambda v: v.cast("double")) / _count(x)
 
 
 def mean_power(x: Column) -> Column:
-    return _total(x, lambda v: v.cast("double") * v.cast("double")) / F.size(x)
+    return _total(x, lambda v: v.cast("double") * v.cast("double")) / _count(x)
 
 
 def downmix(frames: Column, channel_axis: str = "last") -> Column:
@@ -124,7 +129,10 @@ def rms_db(x: Column) -> Column:
 
 
 def source_rate(rate: Column | None, default: int = 16000) -> Column:
-    """Rate given as a number or as text such as ``44100.0``; missing means ``default``."""
+    """Rate given as a number or as text such as ``44100.0``; missing means ``default``.
+
+    Text that is no number gives null, which the signal stage rejects.
+    """
     if rate is None:
         return F.lit(default)
-    return F.coalesce(rate.cast("double").cast("int"), F.lit(default))
+    return F.when(rate.isNull(), default).otherwise(rate.try_cast("double").try_cast("int"))

@@ -77,7 +77,7 @@ def rounded_ratio(numerator: Column, denominator: Column, digits: int = 4) -> Co
     No binary fraction is rounded on the way, so every engine gives the same digits.
     """
     scale = 10**digits
-    num, den = numerator.cast("long"), denominator.cast("long")
+    num, den = numerator.cast("long"), F.nullif(denominator.cast("long"), F.lit(0))
     ticks = F.call_function("div", num * (2 * scale) + den, den * 2)
     return ticks / F.lit(float(scale))
 

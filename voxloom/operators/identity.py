@@ -42,7 +42,7 @@ def with_row_index(
     whatever the size of its key.  Pass narrow rows: they are shuffled once.
     """
     block = [*keys, *files, "_block"]
-    blocked = df.withColumn("_block", F.floor(F.col(position) / block_rows))
+    blocked = df.withColumn("_block", F.call_function("div", F.col(position).cast("long"), F.lit(block_rows)))
     rank = F.row_number().over(W.partitionBy(*block).orderBy(position)) - 1
     sizes = blocked.groupBy(*block).agg(F.count(F.lit(1)).alias("_rows"))
     offsets = block_offsets(sizes, keys, [*files, "_block"], "_rows", "_offset").drop("_rows")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..session import small_side
 
@@ -18,6 +19,25 @@ def pair_audio(meta: DataFrame, audio: DataFrame, on: Sequence[str] | str = "id"
     return meta.join(audio, on, "inner")
 
 
+def resolve_paths(rows: DataFrame, files: DataFrame, audio: str = "audio") -> DataFrame:
+    """Fill the bytes of rows that only name a file, from ``files (path, content)``.
+
+    Names are compared without their folder.  Rows that already hold bytes, or
+    name no file, take no part in the join, where their empty keys would meet in
+    one task.
+    """
+    name = F.element_at(F.split(F.col(f"{audio}.path"), "/"), -1)
+    holds = F.octet_length(f"{audio}.bytes") > 0
+    needs = F.coalesce(~holds, F.lit(True)) & F.coalesce(F.trim(f"{audio}.path") != "", F.lit(False))
+    found = files.select(F.element_at(F.split("path", "/"), -1).alias("_name"), F.col("content").alias("_content"))
+    filled = (
+        rows.filter(needs).withColumn("_name", name).join(found, "_name", "left")
+        .withColumn(audio, F.struct(F.col("_content").alias("bytes"), F.col(f"{audio}.path").alias("path")))
+        .select(*rows.columns)
+    )
+    return rows.filter(~needs).unionByName(filled)
+
+
 def missing_audio(meta: DataFrame, audio: DataFrame, on: Sequence[str] | str = "id") -> DataFrame:
     keys = [on] if isinstance(on, str) else list(on)
     return meta.join(audio.select(*keys), keys, "left_anti")

@@ -19,6 +19,7 @@ from ..functions import signal as sig
 from ..functions import text as txt
 from ..functions.arrow_signal import Decoder, bytes_stage, samples_stage
 from ..operators import gates, identity
+from ..session import audio_batches
 from ..sinks.files import write_drop_log, write_shards
 from ..sources.profile import audio_field, audio_kind
 from ..sources.scan import head_per_split, scan_source
@@ -168,7 +169,9 @@ def build(spark: SparkSession, spec: SourceSpec, raw_root: str, out_root: str, s
     if smoke:
         raw = head_per_split(raw, smoke, ["split"], ["_file", "_pos"])
     paths = BuildPaths(out_root.rstrip("/"))
-    write_shards(staged_rows(raw, spec, decoder, extra=extra), paths.rows, spec.rows_per_file, ("_status", "source", "split"))
+    with audio_batches(spark):
+        rows = staged_rows(raw, spec, decoder, extra=extra)
+        write_shards(rows, paths.rows, spec.rows_per_file, ("_status", "source", "split"))
     write_drop_log(dropped_rows(spark, paths), paths.drop_log)
     return paths
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +18,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Waveforms reach 640,000 floats per row, so batches are bounded by bytes as well as by rows.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # Few output folders per task: keep their files open instead of sorting rows with audio by folder.
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
     "spark.sql.session.timeZone": "UTC",
     # Streaming de-duplication keeps its keys on disk instead of on the heap.
     "spark.sql.streaming.stateStore.providerClass":
@@ -26,6 +27,27 @@ RECOMMENDED = {
 }
 
 
+# A waveform reaches 640,000 floats, so scans and Arrow batches with audio hold few rows at a time.
+AUDIO_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    "spark.sql.parquet.columnarReaderBatchSize": "64",
+}
+
+
+@contextmanager
+def audio_batches(spark: SparkSession) -> Iterator[None]:
+    """Small batches while a plan with audio runs; settings made by the user stay."""
+    missing = {k: v for k, v in AUDIO_BATCHES.items() if spark.conf.get(k, None) is None}
+    for key, value in missing.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in missing:
+            spark.conf.unset(key)
+
+
 def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
     """A local session for tests and the bench; clusters bring their own session."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("voxloom")
@@ -97,6 +119,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def spread(df: DataFrame, bytes_per_task: int = 1 << 20, small_bytes: int = 128 << 20) -> DataFrame:
+    """Use all cores for heavy work on a small scan.
+
+    A file with one row group is read by one task.  If the whole scan is smaller
+    than one split per core, moving it is cheap and the rows are dealt out;
+    anything larger already has a task per core and stays where it is read.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    tasks = min(cores, size // bytes_per_task)
+    return df.repartition(tasks) if 1 < tasks and size < cores * small_bytes else df
+
+
 def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Mark ``df`` for broadcast if it is proven to hold at most ``max_rows`` rows.
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..functions.arrow_signal import Decoder
 from ..plans.build import index_keys, staged_rows
 from ..plans.report import duration_ticks, progress_totals
-from ..session import hadoop_path, path_exists
+from ..session import audio_batches, hadoop_path, path_exists
 from ..sinks.files import write_shards
 from ..sources.scan import locate, scan_parquet, with_origin
 from ..specs import SourceSpec
@@ -65,7 +65,8 @@ class IncrementalBuild:
             return
         raw = with_origin(scan_parquet(self.spark, files, self.schema), self.spec)
         rows = staged_rows(raw, self.spec, self.decoder, base=self._base(batch_id))
-        write_shards(rows, self._path("rows", batch_id), self.spec.rows_per_file, ("_status", "source", "split"))
+        with audio_batches(self.spark):
+            write_shards(rows, self._path("rows", batch_id), self.spec.rows_per_file, ("_status", "source", "split"))
         self._write_progress(batch_id)
 
     def _base(self, batch_id: int) -> DataFrame | None:

@@ -18,6 +18,7 @@ from voxloom.functions import text as txt
 from voxloom.functions.arrow_signal import samples_stage
 from voxloom.operators import gates, identity
 from voxloom.operators.joins import apply_registry
+from voxloom.session import spread
 from voxloom.specs import REGISTRY, SignalParams
 
 RATE = 16
@@ -47,6 +48,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "source", F.col("lang").alias("split"), "text")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents for work that is heavy per text."""
+    return spread(documents(spark, sf_dir))
+
+
 def waveforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, speaker label, conditioned signal y`` as columns."""
     return table(spark, sf_dir, "embeddings").select(
@@ -66,7 +72,7 @@ def measured(spark: SparkSession, sf_dir: str, keep_samples: bool = False) -> Da
 
 def text_measures(spark: SparkSession, sf_dir: str, keep_text: bool = False) -> DataFrame:
     """Narrow facts about each transcript, computed where the text is read."""
-    normal = documents(spark, sf_dir).withColumn("text", txt.normalize_text(F.col("text")))
+    normal = texts(spark, sf_dir).withColumn("text", txt.normalize_text(F.col("text")))
     return normal.select(
         "doc_id", "source", "split", *([F.col("text")] if keep_text else []),
         (F.col("text") == "").alias("no_text"),

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import text as txt
 from voxloom.operators.gates import reason_class
+from voxloom.session import spread
 
 from . import query
-from .tables import SQL_ANNOTATED, annotated, documents, long, sql_normal, sql_words, table
+from .tables import SQL_ANNOTATED, annotated, long, sql_normal, sql_words, table, texts
 
 _ASCII = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
 _WIDE = "".join(chr(ord(c) + 0xFEE0) for c in _ASCII)  # full-width forms
@@ -18,14 +19,14 @@ _WIDE = "".join(chr(ord(c) + 0xFEE0) for c in _ASCII)  # full-width forms
 def nfkc(spark, d):
     """Texts with all letters and digits in full-width form come back as they were."""
     wide = F.translate("text", _ASCII, _WIDE)
-    return documents(spark, d).select("doc_id", F.md5(txt.nfkc(wide)).alias("digest"))
+    return texts(spark, d).select("doc_id", F.md5(txt.nfkc(wide)).alias("digest"))
 
 
 @query("homoglyphs", "SELECT doc_id, md5(translate(text, 'etaoinsr', 'کیهیواا')) AS digest FROM documents")
 def homoglyphs(spark, d):
     """Latin letters stand in for the eight letters that are unified or deleted."""
     arabic = F.translate("text", "etaoinsr", txt.HOMOGLYPHS_FROM)
-    return documents(spark, d).select("doc_id", F.md5(txt.homoglyphs(arabic)).alias("digest"))
+    return texts(spark, d).select("doc_id", F.md5(txt.homoglyphs(arabic)).alias("digest"))
 
 
 @query("collapse_ws", r"""
@@ -35,22 +36,22 @@ FROM documents""")
 def collapse_ws(spark, d):
     """Blanks and tabs between words, other white space at the ends."""
     loose = F.concat(F.lit("\n\u00a0"), F.replace(F.col("text"), F.lit(" "), F.lit(" \t  ")), F.lit("\u2003"))
-    return documents(spark, d).select("doc_id", F.md5(txt.collapse_ws(loose)).alias("digest"))
+    return texts(spark, d).select("doc_id", F.md5(txt.collapse_ws(loose)).alias("digest"))
 
 
 @query("normalize_text", f"""
 SELECT 'documents' AS origin, doc_id AS id, md5({sql_normal('text')}) AS digest FROM documents
 UNION ALL SELECT 'pages', page_id, md5({sql_normal('html')}) FROM pages""")
 def normalize_text(spark, d):
-    docs = documents(spark, d).select(F.lit("documents").alias("origin"), F.col("doc_id").alias("id"), "text")
-    pages = table(spark, d, "pages").select(F.lit("pages").alias("origin"), F.col("page_id").alias("id"), F.col("html").alias("text"))
+    docs = texts(spark, d).select(F.lit("documents").alias("origin"), F.col("doc_id").alias("id"), "text")
+    pages = spread(table(spark, d, "pages")).select(F.lit("pages").alias("origin"), F.col("page_id").alias("id"), F.col("html").alias("text"))
     return docs.unionByName(pages).select("origin", "id", F.md5(txt.normalize_text(F.col("text"))).alias("digest"))
 
 
 @query("text_stats", f"""
 SELECT doc_id, length(t)::BIGINT AS num_chars, {sql_words('t')}::BIGINT AS num_words FROM (SELECT doc_id, {sql_normal('text')} AS t FROM documents)""")
 def text_stats(spark, d):
-    rows = documents(spark, d).select("doc_id", txt.normalize_text(F.col("text")).alias("t"))
+    rows = texts(spark, d).select("doc_id", txt.normalize_text(F.col("text")).alias("t"))
     return rows.select("doc_id", long(txt.num_chars(F.col("t")), "num_chars"), long(txt.num_words(F.col("t")), "num_words"))
 
 
