@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from signals import measures, tone, wav, with_run
 from voxloom.functions import codec
 from voxloom.functions import signal as sig
-from voxloom.functions.arrow_signal import bytes_stage, resample_column, samples_stage
+from voxloom.functions.arrow_signal import bytes_stage, longest_runs, resample_column, samples_stage
 from voxloom.operators import gates
 from voxloom.specs import SignalParams
 
@@ -138,6 +138,35 @@ def test_resampled_sine(rate):
     assert np.abs(got[200:-200] - want[200:-200]).max() < 2e-3
 
 
+@pytest.mark.parametrize("rate", [16001, 44101, 12345])
+def test_odd_ratios(rate):
+    got = codec.resample(tone(rate, 440.0, rate), rate, 16000)
+    assert len(got) == 16000 and np.abs(got[200:-200] - tone(16000, 440.0)[200:-200]).max() < 2e-3
+
+
+@pytest.mark.parametrize("rate, target", [(44100, 16000), (8000, 16000), (48000, 16000), (16, 1), (1, 16), (7, 16)])
+def test_both_resampling_forms_agree(rate, target):
+    rng = np.random.default_rng(rate)
+    for n in (1, 5, 63, 1000, 20011):
+        x = rng.normal(0, 0.2, n).astype(np.float32)
+        common = np.gcd(rate, target)
+        n_out = codec.resampled_length(n, rate, target)
+        if n_out == 0:
+            assert len(codec.resample(x, rate, target)) == 0
+            continue
+        plain = codec._resample_by_phase(x, target // common, rate // common, n_out, 32, 9.0)
+        got = codec.resample(x, rate, target)
+        assert got.shape == (n_out,) and np.allclose(got, plain, atol=2e-6)
+
+
+def test_longest_runs():
+    rng = np.random.default_rng(2)
+    for share in (0.0, 0.2, 0.9, 1.0):
+        mask = rng.random((40, 25)) < share
+        want = [max((len(r) for r in "".join("x" if v else " " for v in row).split()), default=0) for row in mask]
+        assert longest_runs(mask).tolist() == want
+
+
 def test_resample_removes_what_does_not_fit():
     high = codec.resample(tone(48000, 12000.0, 48000), 48000, 16000)
     assert np.abs(high[200:-200]).max() < 1e-3

@@ -30,20 +30,21 @@ METRICS_TYPE = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 SIGNAL_TYPE = T.StructType([T.StructField("samples", T.ArrayType(T.FloatType(), False)), *METRICS_TYPE.fields])
+STACK_SAMPLES = 1 << 18  # clips of equal length are stacked up to about the size of a core's cache
 _ARROW = {"n_samples": pa.int32(), "max_clip_run": pa.int32(), "snr_db": pa.float64(),
           "rms_db": pa.float64(), "error": pa.string()}
 
 
 def longest_runs(mask: np.ndarray) -> np.ndarray:
-    """Longest run of true values in every row of a 2-D mask."""
+    """Longest run of true values in every row of a 2-D mask; the cost follows the number of true values."""
+    width = mask.shape[1]
     best = np.zeros(len(mask), np.int32)
-    hot = np.flatnonzero(mask.any(axis=1))
-    if len(hot):
-        # Padding with a false column keeps runs inside their row when flattened.
-        flat = np.pad(mask[hot], ((0, 0), (1, 1))).ravel().astype(np.int8)
-        edges = np.diff(flat)
-        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        np.maximum.at(best, hot[starts // (mask.shape[1] + 2)], (ends - starts).astype(np.int32))
+    hits = np.flatnonzero(mask)
+    if len(hits):
+        breaks = (np.diff(hits) != 1) | (hits[1:] % width == 0)
+        starts = np.flatnonzero(np.concatenate(([True], breaks)))
+        lengths = np.diff(np.append(starts, len(hits)))
+        np.maximum.at(best, hits[starts] // width, lengths.astype(np.int32))
     return best
 
 
@@ -106,16 +107,21 @@ class _Batch:
             x = codec.resample(x, rate, p.target_sr)
         self.pending.setdefault(n, []).append((row, x))
 
+    def _measure(self, group: list[tuple[int, np.ndarray]]) -> None:
+        rows = [row for row, _ in group]
+        y = condition_matrix(np.stack([x for _, x in group]))
+        for name, values in measure_matrix(y, self.params.clip_amp).items():
+            for row, value in zip(rows, values.tolist()):
+                self.columns[name][row] = value
+        if self.keep:
+            for row, samples in zip(rows, y):
+                self.samples[row] = samples
+
     def finish(self) -> pa.StructArray:
-        for group in self.pending.values():
-            rows = [row for row, _ in group]
-            y = condition_matrix(np.stack([x for _, x in group]))
-            for name, values in measure_matrix(y, self.params.clip_amp).items():
-                for row, value in zip(rows, values.tolist()):
-                    self.columns[name][row] = value
-            if self.keep:
-                for row, samples in zip(rows, y):
-                    self.samples[row] = samples
+        for n, group in self.pending.items():
+            step = max(1, STACK_SAMPLES // n)
+            for lo in range(0, len(group), step):
+                self._measure(group[lo:lo + step])
         self.pending.clear()
         arrays = [pa.array(self.columns[name], kind) for name, kind in _ARROW.items()]
         names = list(_ARROW)

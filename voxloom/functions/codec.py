@@ -49,13 +49,13 @@ def _scale(body: memoryview, tag: int, bits: int) -> np.ndarray:
     if tag == IEEE_FLOAT and bits in (32, 64):
         return np.frombuffer(body, f"<f{width}").astype(np.float32)
     if tag == PCM and bits == 8:
-        return ((np.frombuffer(body, np.uint8).astype(np.float32)) - 128) / np.float32(128)
+        return (np.frombuffer(body, np.uint8).astype(np.float32) - 128) / np.float32(128)
     if tag == PCM and bits in (16, 32):
-        return (np.frombuffer(body, f"<i{width}") / float(1 << (bits - 1))).astype(np.float32)
+        return np.frombuffer(body, f"<i{width}").astype(np.float32) * np.float32(2.0 ** (1 - bits))
     if tag == PCM and bits == 24:
         wide = np.zeros((len(body) // 3, 4), np.uint8)
         wide[:, 1:] = np.frombuffer(body, np.uint8).reshape(-1, 3)
-        return (wide.view("<i4")[:, 0] / float(1 << 31)).astype(np.float32)
+        return wide.view("<i4")[:, 0].astype(np.float32) * np.float32(2.0**-31)
     raise ValueError("unsupported codec")
 
 
@@ -63,7 +63,7 @@ def resampled_length(n: int, rate: int, target: int) -> int:
     return n * target // rate
 
 
-@lru_cache(maxsize=32)
+@lru_cache(maxsize=8)
 def _sinc_bank(up: int, down: int, zero_crossings: int, beta: float) -> tuple[np.ndarray, int]:
     """One row of Kaiser-windowed sinc taps per output phase."""
     cutoff = min(1.0, up / down)
@@ -72,7 +72,23 @@ def _sinc_bank(up: int, down: int, zero_crossings: int, beta: float) -> tuple[np
     distance = offsets[None, :] - (np.arange(up) / up)[:, None]
     window = np.i0(beta * np.sqrt(np.clip(1 - (distance / half) ** 2, 0, None))) / np.i0(beta)
     bank = cutoff * np.sinc(cutoff * distance) * window
-    return bank / bank.sum(axis=1, keepdims=True), half
+    return (bank / bank.sum(axis=1, keepdims=True)).astype(np.float32), half
+
+
+@lru_cache(maxsize=8)
+def _block_matrix(up: int, down: int, repeat: int, zero_crossings: int, beta: float) -> tuple[np.ndarray, int]:
+    """Matrix from a window of input samples to ``up * repeat`` consecutive output samples."""
+    bank, half = _sinc_bank(up, down, zero_crossings, beta)
+    matrix = np.zeros((down * repeat + 2 * half, up * repeat), np.float32)
+    for column in range(up * repeat):
+        first, phase = divmod(column * down, up)
+        matrix[first:first + 2 * half, column] = bank[phase]
+    return matrix, half
+
+
+BLOCK_OUTPUTS = 128  # outputs per matrix block, at least
+MAX_MATRIX = 1 << 20  # larger ratios take the slower form
+STEP = 1 << 22  # input values copied at a time
 
 
 def resample(x: np.ndarray, rate: int, target: int, zero_crossings: int = 32, beta: float = 9.0) -> np.ndarray:
@@ -81,12 +97,34 @@ def resample(x: np.ndarray, rate: int, target: int, zero_crossings: int = 32, be
         return x
     common = gcd(rate, target)
     up, down = target // common, rate // common
-    bank, half = _sinc_bank(up, down, zero_crossings, beta)
     n_out = resampled_length(len(x), rate, target)
-    padded = np.concatenate([np.zeros(half - 1), np.asarray(x, np.float64), np.zeros(half + 1)])
+    if n_out == 0:
+        return np.empty(0, np.float32)
+    repeat = -(-BLOCK_OUTPUTS // up)
+    if up * repeat * down * repeat > MAX_MATRIX:
+        return _resample_by_phase(x, up, down, n_out, zero_crossings, beta)
+    matrix, half = _block_matrix(up, down, repeat, zero_crossings, beta)
+    window, outputs = matrix.shape
+    hop = down * repeat
+    blocks = -(-n_out // outputs)
+    padded = np.zeros(max((blocks - 1) * hop + window, half - 1 + len(x)), np.float32)
+    padded[half - 1:half - 1 + len(x)] = x
+    spans = np.lib.stride_tricks.sliding_window_view(padded, window)[::hop]
+    out = np.empty((blocks, outputs), np.float32)
+    step = max(1, STEP // window)
+    for lo in range(0, blocks, step):
+        hi = min(lo + step, blocks)
+        np.matmul(np.ascontiguousarray(spans[lo:hi]), matrix, out=out[lo:hi])
+    return out.ravel()[:n_out]
+
+
+def _resample_by_phase(x: np.ndarray, up: int, down: int, n_out: int, zero_crossings: int, beta: float) -> np.ndarray:
+    """The same filter, gathered per output sample, for ratios with very many phases."""
+    bank, half = _sinc_bank(up, down, zero_crossings, beta)
+    padded = np.concatenate([np.zeros(half - 1, np.float32), x, np.zeros(half + 1, np.float32)])
     spans = np.lib.stride_tricks.sliding_window_view(padded, 2 * half)
     out = np.empty(n_out, np.float32)
-    step = 1 << 15
+    step = max(1, STEP // (2 * half))
     for lo in range(0, n_out, step):
         ticks = np.arange(lo, min(lo + step, n_out), dtype=np.int64) * down
         out[lo:lo + len(ticks)] = np.einsum("ij,ij->i", spans[ticks // up], bank[ticks % up])
