@@ -4,15 +4,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxloom.operators import dedup, identity, joins, quality
+from voxloom.operators.blocks import range_blocks, time_blocks
 from voxloom.operators.runs import with_run_length
 from voxloom.session import small_side
 
 
-@pytest.mark.parametrize("block", [1, 7, 1000])
-def test_row_index_with_a_hot_key(spark, block):
+@pytest.mark.parametrize("block, most", [(1, 1000), (7, 1000), (1000, 1000), (7, 3)])
+def test_row_index_with_a_hot_key(spark, block, most):
     rng = random.Random(block)
     rows = [("hot" if rng.random() < 0.6 else rng.choice("abc"), f"f{rng.randrange(3)}", p) for p in rng.sample(range(5000), 400)]
-    got = identity.with_row_index(spark.createDataFrame(rows, "k string, f string, p long"), ["k"], "p", ["f"], block_rows=block).collect()
+    got = identity.with_row_index(spark.createDataFrame(rows, "k string, f string, p long"), ["k"], "p", ["f"], block_rows=block, max_blocks=most).collect()
     assert len(got) == len(rows)
     for key in {r[0] for r in rows}:
         want = {(f, p): i for i, (f, p) in enumerate(sorted((f, p) for k, f, p in rows if k == key))}
@@ -54,13 +55,14 @@ def test_keep_first_with_a_hot_key(spark):
     assert (counts.rows_before, counts.rows_after, counts.removed) == (500, len(want), 500 - len(want))
 
 
-@pytest.mark.parametrize("width", [1, 3, 10, 1000])
+@pytest.mark.parametrize("width", [0, 1, 3, 10, 1000])
 @pytest.mark.parametrize("share", [0.3, 0.9, 1.0])
 def test_runs_across_blocks(spark, width, share):
     rng = random.Random(width * 100 + int(share * 10))
     rows = [(k, t, rng.random() < share) for k in ("a", "hot") for t in sorted(rng.sample(range(300), 20 if k == "a" else 200))]
     df = spark.createDataFrame(rows, "k string, t long, f boolean")
-    got = {(r.k, r.t): r.run_length for r in with_run_length(df, ["k"], ["t"], F.col("f"), F.floor(F.col("t") / width)).collect()}
+    cut = df.withColumn("_block", F.floor(F.col("t") / width)) if width else range_blocks(df, ["k", "t"])
+    got = {(r.k, r.t): r.run_length for r in with_run_length(cut, ["k"], ["t"], F.col("f")).collect()}
     run, last = 0, None
     for k, t, f in sorted(rows):
         run = (run if k == last else 0) + 1 if f else 0
@@ -69,6 +71,18 @@ def test_runs_across_blocks(spark, width, share):
     assert len(got) == len(rows)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("rows_per_block", [1, 5, 1000])
+def test_time_blocks_follow_the_order(spark, kind, rows_per_block):
+    # A burst: most rows fall into one second.
+    rng = random.Random(rows_per_block)
+    rows = [("hot", i, 1_700_000_000 + (500_000 if i % 10 else rng.randrange(1_000_000))) for i in range(120)]
+    df = spark.createDataFrame(rows, "k string, i long, s long").withColumn("ts", F.timestamp_seconds("s").cast(kind))
+    cut = time_blocks(df, ["k"], "ts", ["ts", "i"], rows_per_block).collect()
+    blocks = [r._block for r in sorted(cut, key=lambda r: (r.s, r.i))]
+    assert len(blocks) == 120 and blocks == sorted(blocks)
+
+
 def test_joins(spark):
     meta = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, t string")
     audio = spark.createDataFrame([(1, 10), (3, 30)], "id long, n long")

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window as W
 from ..functions.text import WHITESPACE, falsy_to_empty
 from ..session import small_side
 from ..specs import SourceSpec
+from .blocks import BLOCK, range_blocks
 
 
 MAX_FILES = 1_000_000  # per-file offsets (about 100 bytes each) are broadcast up to this many files
@@ -34,24 +35,31 @@ def with_row_index(
     files: Sequence[str] = (),
     out: str = "row_index",
     block_rows: int = 100_000,
+    max_blocks: int = 1_000_000,
 ) -> DataFrame:
     """Zero-based index of every row within ``keys``, ordered by ``files`` and then by ``position``.
 
     ``position`` is an integer, unique within ``keys`` and ``files``; a block of
     ``block_rows`` consecutive positions therefore holds at most that many rows,
-    whatever the size of its key.  Pass narrow rows: they are shuffled once.
+    whatever the size of its key.  If positions are so sparse that a key would
+    have more than ``max_blocks`` blocks, the rows are cut by ranges instead.
+    Pass narrow rows without nulls in these columns.
     """
-    block = [*keys, *files, "_block"]
-    blocked = df.withColumn("_block", F.call_function("div", F.col(position).cast("long"), F.lit(block_rows)))
-    rank = F.row_number().over(W.partitionBy(*block).orderBy(position)) - 1
-    sizes = blocked.groupBy(*block).agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = block_offsets(sizes, keys, [*files, "_block"], "_rows", "_offset").drop("_rows")
+    group = [*keys, *files, BLOCK]
+    blocked = df.withColumn(BLOCK, F.call_function("div", F.col(position).cast("long"), F.lit(block_rows)))
+    per_key = blocked.select(*group).distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if (per_key.agg(F.max("n")).head()[0] or 0) > max_blocks:
+        group = [*keys, BLOCK]
+        blocked = range_blocks(df, [*keys, *files, position])
+    rank = F.row_number().over(W.partitionBy(*group).orderBy(*files, position)) - 1
+    sizes = blocked.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+    offsets = block_offsets(sizes, keys, [c for c in group if c not in keys], "_rows", "_offset").drop("_rows")
     # One partitioning by block serves the rank and the join.
     return (
         blocked.withColumn("_rank", rank)
-        .join(offsets, block)
+        .join(offsets, group)
         .withColumn(out, (F.col("_offset") + F.col("_rank")).cast("long"))
-        .drop("_block", "_rank", "_offset")
+        .drop(BLOCK, "_rank", "_offset")
     )
 
 

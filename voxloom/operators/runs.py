@@ -11,58 +11,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from .blocks import BLOCK
 
-def _seconds(df: DataFrame, ts: str) -> Column:
-    """Whole seconds that never run backwards, also where a local clock does."""
-    at = F.col(ts)
-    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
-        return F.unix_date(F.to_date(at)) * 86400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
-    return F.unix_seconds(at)
 
-
-def even_time_block(df: DataFrame, ts: str, block_rows: int = 1_000_000) -> Column:
-    """Equal spans of time, short enough for about ``block_rows`` rows each.
-
-    Reads one column, once.
-    """
-    second = _seconds(df, ts)
-    low, high, n = df.agg(F.min(second), F.max(second), F.count(ts)).head()
-    width = max(1, (high - low + 1) * block_rows // n) if n else 1
-    return F.floor((second - F.lit(low or 0)) / F.lit(width))
-
-
-def with_run_length(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: Column, block: Column, out: str = "run_length"
-) -> DataFrame:
+def with_run_length(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: Column, out: str = "run_length") -> DataFrame:
     """Length of the flagged run ending at each row, 0 on unflagged rows.
 
-    ``block`` grows with ``order`` (for instance the day of a timestamp) and
-    bounds how many rows one task sorts.
+    ``df`` has a column ``_block`` (see :mod:`voxloom.operators.blocks`) that
+    grows with ``order`` and bounds how many rows one task sorts; it is dropped.
     """
-    rows = df.withColumn("_flag", flag.cast("int")).withColumn("_block", block)
-    in_block = W.partitionBy(*keys, "_block").orderBy(*order)
+    rows = df.withColumn("_flag", flag.cast("int"))
+    in_block = W.partitionBy(*keys, BLOCK).orderBy(*order)
     upto = in_block.rowsBetween(W.unboundedPreceding, 0)
     rows = rows.withColumn("_at", F.row_number().over(in_block))
     # Position of the last unflagged row so far; 0 while there is none in this block.
     rows = rows.withColumn("_gap", F.coalesce(F.max(F.when(F.col("_flag") == 0, F.col("_at"))).over(upto), F.lit(0)))
 
-    blocks = rows.groupBy(*keys, "_block").agg(
+    blocks = rows.groupBy(*keys, BLOCK).agg(
         F.count(F.lit(1)).alias("_n"), F.max("_gap").alias("_last_gap"))
     full = F.col("_last_gap") == 0
-    running = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, 0)
-    before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    running = W.partitionBy(*keys).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, 0)
+    before = W.partitionBy(*keys).orderBy(BLOCK).rowsBetween(W.unboundedPreceding, -1)
     # Carry into a block: the run at the end of the last block with a gap, plus all full blocks since.
     blocks = blocks.withColumn("_full_rows", F.sum(F.when(full, F.col("_n")).otherwise(0)).over(running))
     blocks = blocks.withColumn("_all", F.coalesce(F.max("_full_rows").over(before), F.lit(0))).withColumn(
         "_since",
-        F.max(F.when(~full, F.struct("_block", (F.col("_n") - F.col("_last_gap") - F.col("_full_rows")).alias("d"))))
+        F.max(F.when(~full, F.struct(BLOCK, (F.col("_n") - F.col("_last_gap") - F.col("_full_rows")).alias("d"))))
         .over(before))
-    summary = blocks.select(*keys, "_block", (F.col("_all") + F.coalesce("_since.d", F.lit(0))).alias("_carry"))
-    joined = rows.join(summary, [*keys, "_block"])
+    summary = blocks.select(*keys, BLOCK, (F.col("_all") + F.coalesce("_since.d", F.lit(0))).alias("_carry"))
+    joined = rows.join(summary, [*keys, BLOCK])
     length = F.when(F.col("_flag") == 0, F.lit(0)).otherwise(
         F.col("_at") - F.col("_gap") + F.when(F.col("_gap") == 0, F.col("_carry")).otherwise(F.lit(0)))
     return joined.withColumn(out, length.cast("long")).drop(
-        "_flag", "_block", "_at", "_gap", "_carry")
+        "_flag", BLOCK, "_at", "_gap", "_carry")

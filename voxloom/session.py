@@ -139,7 +139,7 @@ def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     frames such as per-file counts).  Larger frames come back unhinted, so the
     join shuffles instead.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,15 +129,21 @@ def binary_files(spark: SparkSession, path: str, glob: str = "*.wav", id_column:
     )
 
 
+REGISTRY_SCHEMA = (
+    "source string, path string, text_cols array<string>, audio_col string, rate_col string, audio_kind string, "
+    "codec string, speaker_rule string, speaker string, split_rule string, index_scope string, rows_per_file int, "
+    "target_sr int, min_s double, max_s double, clip_amp double, clip_ms double, min_run int")
+
+
 def registry_frame(spark: SparkSession, registry: Sequence[SourceSpec] = REGISTRY) -> DataFrame:
     """The registry as rows, one per source."""
+    names = [c.split()[0] for c in REGISTRY_SCHEMA.split(", ")]
     rows = [
-        (s.name, s.path, list(s.text_cols), s.audio_col, s.rate_col, s.audio_kind, s.codec, s.speaker_rule, s.speaker,
-         s.split_rule, s.index_scope, s.rows_per_file, s.signal.target_sr, s.signal.min_s, s.signal.max_s,
-         s.signal.clip_amp, s.signal.clip_ms, s.signal.min_run)
+        {
+            n: s.name if n == "source" else list(s.text_cols) if n == "text_cols"
+            else getattr(s, n) if hasattr(s, n) else getattr(s.signal, n)
+            for n in names
+        }
         for s in registry
     ]
-    return spark.createDataFrame(rows, (
-        "source string, path string, text_cols array<string>, audio_col string, rate_col string, audio_kind string, "
-        "codec string, speaker_rule string, speaker string, split_rule string, index_scope string, rows_per_file int, "
-        "target_sr int, min_s double, max_s double, clip_amp double, clip_ms double, min_run int"))
+    return spark.createDataFrame(pa.Table.from_pylist(rows), REGISTRY_SCHEMA)

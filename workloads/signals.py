@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import signal as sig
 from voxloom.functions.arrow_signal import decode_stage, resample_column
+from voxloom.operators.blocks import time_blocks
 from voxloom.operators.joins import apply_registry
-from voxloom.operators.runs import even_time_block, with_run_length
+from voxloom.operators.runs import with_run_length
 from voxloom.plans.build import rebuild_audio as rebuild
 
 from . import query
@@ -86,7 +87,8 @@ def clip_window(spark, d):
     """Windows of consecutive clipped values in long, uneven series, cut into spans of time."""
     rows = table(spark, d, "events").select("user_id", "ts", "event_id", "value")
     hot = F.col("value") >= CLIP_VALUE
-    runs = with_run_length(rows, ["user_id"], ["ts", "event_id"], hot, even_time_block(rows, "ts"))
+    order = ["ts", "event_id"]
+    runs = with_run_length(time_blocks(rows, ["user_id"], "ts", order), ["user_id"], order, hot)
     return runs.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(hot).alias("n_clipped"),
         F.count_if(F.col("run_length") >= CLIP_RUN).alias("clipped_windows"),

@@ -10,6 +10,7 @@ clipping amplitude is 0.8.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +41,10 @@ def settings(spark: SparkSession) -> DataFrame:
         rate = FAST_RATE if n in FAST_SOURCES else SLOW_RATE if n in SLOW_SOURCES else RATE
         p = SignalParams(target_sr=rate, max_s=spec.signal.max_s, clip_ms=PARAMS.clip_ms, clip_amp=PARAMS.clip_amp)
         rows.append((f"src{n}", spec.name, rate, p.min_s, p.max_s, p.min_run))
+    names = ("source", "registered", "target_sr", "min_s", "max_s", "min_run")
     return spark.createDataFrame(
-        rows, "source string, registered string, target_sr int, min_s double, max_s double, min_run int")
+        pa.Table.from_pylist([dict(zip(names, r)) for r in rows]),
+        "source string, registered string, target_sr int, min_s double, max_s double, min_run int")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
