@@ -88,7 +88,10 @@ def test_lists_rates_and_limits(spark, tmp_path):
         samplerate=pa.array([None, "8000.0", "8000", None, "16000"]), transcript=list("abcde"), extra=list("zzzzz"))
     paths = plan.build(spark, spec_for("mana_tts"), str(tmp_path / "raw"), str(tmp_path / "out"))
     assert [(r.text, r.n_samples) for r in kept(spark, paths)] == [("a", 8000), ("b", 8000)]
-    assert [d[1] for d in drops(spark, paths)] == ["audio: no audio", "audio: no audio", "audio: too long 30.0s"]
+    assert [d[1] for d in drops(spark, paths)] == ["no audio", "no audio", "too long 30.0s"]
+    codes = {r.reason_code: r.n for r in report.code_histogram(plan.dropped_rows(spark, paths)).collect()}
+    assert codes == {"no_audio": 2, "too_long": 1}
+    assert [r.text for r in scan.iterate(plan.kept_rows(spark, paths).select("text").orderBy("text"))] == ["a", "b"]
 
 
 def test_column_speaker_and_bytes(spark, tmp_path):

@@ -30,7 +30,9 @@ def cmd_build(spark, a) -> None:
     paths = batch.build(spark, spec_for(a.source), a.raw, f"{a.out}/{a.source}", a.smoke, _decoder(a.decoder))
     staged = batch.staged(spark, paths)
     _show(report.build_report(staged))
-    _show(report.reason_histogram(batch.dropped_rows(spark, paths)))
+    dropped = batch.dropped_rows(spark, paths)
+    _show(report.reason_histogram(dropped))
+    _show(report.code_histogram(dropped))
     repair.require_good(batch.kept_rows(spark, paths), spec_for(a.source).signal.target_sr)
 
 

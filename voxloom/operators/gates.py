@@ -39,14 +39,14 @@ def reason_code(
     )
 
 
-def reason_text(code: Column, error: Column, n_samples: Column, rate: Column) -> Column:
-    """Readable reason; signal failures share the prefix ``audio:``."""
+def reason_text(code: Column, error: Column, n_samples: Column, rate: Column, prefix: str = "audio: ") -> Column:
+    """Readable reason; signal failures share ``prefix``."""
     dur = seconds(n_samples, rate)
     return (
-        F.when(code.isin(NO_AUDIO, UNDECODABLE), F.concat(F.lit("audio: "), F.coalesce(error, F.lit("no audio"))))
-        .when(code == TOO_SHORT, F.format_string("audio: too short %.3fs", dur))
-        .when(code == TOO_LONG, F.format_string("audio: too long %.1fs", dur))
-        .when(code == CLIPPING, "audio: clipping detected")
+        F.when(code.isin(NO_AUDIO, UNDECODABLE), F.concat(F.lit(prefix), F.coalesce(error, F.lit("no audio"))))
+        .when(code == TOO_SHORT, F.format_string(prefix + "too short %.3fs", dur))
+        .when(code == TOO_LONG, F.format_string(prefix + "too long %.1fs", dur))
+        .when(code == CLIPPING, prefix + "clipping detected")
         .when(code == EMPTY_TEXT, "empty text")
     )
 
@@ -56,7 +56,7 @@ def reason_class(reason: Column) -> Column:
     return prefix_before(reason, ":")
 
 
-def with_reason(df: DataFrame, params: SignalParams | None = None) -> DataFrame:
+def with_reason(df: DataFrame, params: SignalParams | None = None, prefix: str = "audio: ") -> DataFrame:
     """Add ``reason_code`` and ``reason``.
 
     Limits come from ``params``, or from the columns ``target_sr, min_s, max_s,
@@ -68,7 +68,7 @@ def with_reason(df: DataFrame, params: SignalParams | None = None) -> DataFrame:
         rate, low, high, run = (F.lit(v) for v in (params.target_sr, params.min_s, params.max_s, params.min_run))
     code = reason_code(F.col("error"), F.col("n_samples"), F.col("max_clip_run"), F.col("text"), rate, low, high, run)
     return df.withColumn("reason_code", code).withColumn(
-        "reason", reason_text(F.col("reason_code"), F.col("error"), F.col("n_samples"), rate)
+        "reason", reason_text(F.col("reason_code"), F.col("error"), F.col("n_samples"), rate, prefix)
     )
 
 

@@ -114,7 +114,7 @@ def annotate(raw: DataFrame, spec: SourceSpec, keep_samples: bool = True, decode
         identity.speaker_id(spec, raw).alias("speaker_id"),
         signal_column(raw, spec, keep_samples, decoder).alias("_sig"),
     )
-    rows = gates.with_reason(narrow.select(*carried, "text", "speaker_id", "_sig.*"), spec.signal)
+    rows = gates.with_reason(narrow.select(*carried, "text", "speaker_id", "_sig.*"), spec.signal, spec.reason_prefix)
     if keep_samples:
         rows = rows.withColumn("samples", F.when(F.col("reason_code").isNull(), F.col("samples")))
     return rows
@@ -182,7 +182,7 @@ def staged(spark: SparkSession, paths: BuildPaths) -> DataFrame:
 
 def kept_rows(spark: SparkSession, paths: BuildPaths) -> DataFrame:
     """The corpus of a built source, pruned to the kept folder."""
-    return staged(spark, paths).filter(F.col("_status") == "kept").drop("_status", "_file", "reason_code", "reason")
+    return staged(spark, paths).filter(F.col("_status") == "kept").drop("_status", "_file", "reason_code", "reason", "batch_id")
 
 
 def dropped_rows(spark: SparkSession, paths: BuildPaths) -> DataFrame:

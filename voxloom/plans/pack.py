@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.joins import missing_audio, pair_audio
-from ..session import audio_batches, path_exists
+from ..session import audio_batches, path_exists, small_side
 from ..sinks.files import embed_bytes, write_shards
 from ..sources.metadata import read_metadata
 from ..sources.scan import binary_files
@@ -21,6 +22,7 @@ def pack(spark: SparkSession, metadata: str, audio_dir: str, out: str, glob: str
     records = read_metadata(spark, metadata)
     sounds = binary_files(spark, audio_dir, glob)
     with audio_batches(spark):
-        paired = pair_audio(records, sounds.select("id", "content"))
-        write_shards(embed_bytes(paired.select("content", records["text"].alias("sentence"))), out, rows_per_file)
+        # Up to the checked bound the records go to the audio, not the audio through a shuffle.
+        paired = pair_audio(small_side(records, 500_000), sounds.select("id", "content"))
+        write_shards(embed_bytes(paired.select("content", F.col("text").alias("sentence"))), out, rows_per_file)
     return missing_audio(records, sounds.select("id")).count()

@@ -51,6 +51,11 @@ def reason_histogram(dropped: DataFrame, reason: str = "reason") -> DataFrame:
     )
 
 
+def code_histogram(dropped: DataFrame) -> DataFrame:
+    """Dropped rows per gate, the same for all sources whatever their wording."""
+    return dropped.groupBy("reason_code").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "reason_code")
+
+
 def split_hours(kept: DataFrame, keys: Sequence[str] = ("split",)) -> DataFrame:
     return kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), hours(F.col("duration")).alias("hours"))
 

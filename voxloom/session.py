@@ -67,6 +67,7 @@ def local_session(cpus: int | str = "*", **conf: str) -> SparkSession:
 
 
 _shipped: set[str] = set()
+_fallback_dirs: dict[str, str] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -98,9 +99,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    created = tempfile.mkdtemp(prefix="voxloom-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    app = spark.sparkContext.applicationId
+    if app not in _fallback_dirs:
+        _fallback_dirs[app] = tempfile.mkdtemp(prefix="voxloom-")
+    return _fallback_dirs[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

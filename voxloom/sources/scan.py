@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,6 +113,11 @@ def read_corpus(spark: SparkSession, path: str, source: str | None = None, split
     return df
 
 
+def iterate(df: DataFrame) -> Iterator[Row]:
+    """Rows for a consumer outside Spark, one partition at a time in memory."""
+    return df.toLocalIterator(prefetchPartitions=True)
+
+
 def head_per_split(df: DataFrame, n: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """First ``n`` rows of every split; each task passes on at most ``n`` rows per split."""
     from pyspark.sql.window import Window as W

@@ -45,6 +45,8 @@ class SourceSpec:
     # the row counter restarts per split, or runs over the whole source
     index_scope: str = "split"
     rows_per_file: int = 1024
+    # put before the reason of a signal failure, so that the drop log can be counted by prefix
+    reason_prefix: str = "audio: "
     configs: dict[str, str] = field(default_factory=dict)
     signal: SignalParams = SignalParams()
 
@@ -87,7 +89,8 @@ REGISTRY: tuple[SourceSpec, ...] = (
     SourceSpec("kiarash", "kiarash", ("text",), audio_kind="binary", codec="wav/mp3",
                speaker="gen:kiarash_spk0000", split_rule="constant", index_scope="source"),
     SourceSpec("mana_tts", "mana_tts/dataset", ("transcript",), rate_col="samplerate", audio_kind="samples",
-               speaker="gen:mana_tts_spk0000", split_rule="constant", rows_per_file=4096, signal=_LIMIT_30),
+               speaker="gen:mana_tts_spk0000", split_rule="constant", rows_per_file=4096, reason_prefix="",
+               signal=_LIMIT_30),
     SourceSpec("gpt_informal", "gpt_informal/dataset", ("transcript",), rate_col="samplerate",
                audio_kind="samples", speaker="gen:gpt_informal_spk0000", split_rule="constant"),
     SourceSpec("thomcles", "thomcles", ("sentence", "text", "transcription", "transcript"),
