@@ -316,3 +316,29 @@ def test_command_line(spark, tmp_path, capsys, monkeypatch):
     text = capsys.readouterr().out
     assert '{"splits":["kiarash_train","m522t_train"]}' in text and "all checks passed" in text
     assert spark.read.parquet(corpus).count() == 2
+
+
+def test_audio_in_outside_files(spark, tmp_path):
+    (tmp_path / "wavs").mkdir()
+    (tmp_path / "wavs/a.wav").write_bytes(wav(tone(8000)))
+    audio = pa.array([{"bytes": wav(tone(16000)), "path": None}, {"bytes": None, "path": "x/a.wav"}, {"bytes": None, "path": "gone.wav"}], ENCODED)
+    put(tmp_path / "raw/m522t/data/train-0.parquet", audio=audio, sentence=list("abc"))
+    outside = scan.binary_files(spark, str(tmp_path / "wavs"))
+    paths = plan.build(spark, spec_for("m522t"), str(tmp_path / "raw"), str(tmp_path / "out"), audio_files=outside)
+    assert [(r.utt_id, r.n_samples) for r in kept(spark, paths)] == [("m522t_train_00000000", 16000), ("m522t_train_00000001", 8000)]
+    assert drops(spark, paths) == [("m522t_train_00000002", "audio: no audio")]
+
+
+def test_unreadable_raw_files(spark, tmp_path):
+    raw = tmp_path / "raw"
+    feed_file(raw, "f0", 2)
+    feed_file(raw, "f2", 1)
+    (raw / "feed/f1.parquet").write_bytes(b"PAR1 broken")
+    with pytest.raises(Exception):
+        plan.build(spark, FEED, str(raw), str(tmp_path / "strict"))
+    paths = plan.build(spark, FEED, str(raw), str(tmp_path / "out"), tolerant=True)
+    assert len(kept(spark, paths)) == 3
+    job = IncrementalBuild(spark, FEED, str(raw), str(tmp_path / "inc"), files_per_batch=1, tolerant=True)
+    job.run()
+    assert len(state(job)) == 3
+    assert [Path(r.file).name for r in job.remaining_files().collect()] == ["f1.parquet"]

@@ -19,6 +19,7 @@ from ..functions import signal as sig
 from ..functions import text as txt
 from ..functions.arrow_signal import Decoder, bytes_stage, samples_stage
 from ..operators import gates, identity
+from ..operators.joins import resolve_paths
 from ..session import audio_batches
 from ..sinks.files import write_drop_log, write_shards
 from ..sources.profile import audio_field, audio_kind
@@ -144,15 +145,18 @@ def index_keys(spec: SourceSpec) -> list[str]:
 
 
 def staged_rows(raw: DataFrame, spec: SourceSpec, decoder: Decoder | None = None, base: DataFrame | None = None,
-                extra: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                extra: Callable[[DataFrame], DataFrame] | None = None, audio_files: DataFrame | None = None) -> DataFrame:
     """Unified rows plus ``source, split, reason, _status``, ready to be written.
 
+    ``audio_files`` (``path, content``) supplies the bytes of rows that only name a file.
     ``extra`` may transform the annotated rows (for example with a row function
     through ``mapInPandas``) before they are routed.
     """
     indexed = identity.with_file_index(raw, index_keys(spec), base=base)
     indexed = indexed.select(
         *raw.columns, identity.utt_id(F.col("source"), F.col("split"), F.col("row_index")).alias("utt_id"))
+    if audio_files is not None:
+        indexed = resolve_paths(indexed, audio_files, spec.audio_col)
     rows = annotate(indexed, spec, decoder=decoder)
     if extra is not None:
         rows = extra(rows)
@@ -163,14 +167,15 @@ def staged_rows(raw: DataFrame, spec: SourceSpec, decoder: Decoder | None = None
 
 
 def build(spark: SparkSession, spec: SourceSpec, raw_root: str, out_root: str, smoke: int = 0,
-          decoder: Decoder | None = None, extra: Callable[[DataFrame], DataFrame] | None = None) -> BuildPaths:
+          decoder: Decoder | None = None, extra: Callable[[DataFrame], DataFrame] | None = None,
+          audio_files: DataFrame | None = None, tolerant: bool = False) -> BuildPaths:
     """Build a source into ``out_root`` and return where its parts are."""
-    raw = scan_source(spark, spec, raw_root)
+    raw = scan_source(spark, spec, raw_root, tolerant=tolerant)
     if smoke:
         raw = head_per_split(raw, smoke, ["split"], ["_file", "_pos"])
     paths = BuildPaths(out_root.rstrip("/"))
     with audio_batches(spark):
-        rows = staged_rows(raw, spec, decoder, extra=extra)
+        rows = staged_rows(raw, spec, decoder, extra=extra, audio_files=audio_files)
         write_shards(rows, paths.rows, spec.rows_per_file, ("_status", "source", "split"))
     write_drop_log(dropped_rows(spark, paths), paths.drop_log)
     return paths

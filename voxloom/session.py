@@ -21,6 +21,9 @@ RECOMMENDED = {
     # Few output folders per task: keep their files open instead of sorting rows with audio by folder.
     "spark.sql.maxConcurrentOutputFileWriters": "64",
     "spark.sql.session.timeZone": "UTC",
+    # One task uses one core, also inside numpy.
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
+    "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
     # Streaming de-duplication keeps its keys on disk instead of on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -35,9 +35,14 @@ def discover(spark: SparkSession, root: str) -> tuple[str, bool]:
 
 
 def scan_parquet(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType | str | None = None,
-                 recursive: bool = False) -> DataFrame:
-    """Many files as one table; with a schema no file is opened for inference."""
+                 recursive: bool = False, tolerant: bool = False) -> DataFrame:
+    """Many files as one table; with a schema no file is opened for inference.
+
+    ``tolerant`` skips unreadable files; :func:`voxloom.sources.files.corrupt_files` names them.
+    """
     reader = spark.read.schema(schema) if schema is not None else spark.read
+    if tolerant:
+        reader = reader.option("ignoreCorruptFiles", "true")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     return reader.parquet(*([paths] if isinstance(paths, str) else paths))
@@ -97,10 +102,11 @@ def with_origin(raw: DataFrame, spec: SourceSpec) -> DataFrame:
     )
 
 
-def scan_source(spark: SparkSession, spec: SourceSpec, root: str, schema: T.StructType | str | None = None) -> DataFrame:
+def scan_source(spark: SparkSession, spec: SourceSpec, root: str, schema: T.StructType | str | None = None,
+                tolerant: bool = False) -> DataFrame:
     """All raw rows of a source; only columns used later are read."""
     path, recursive = locate(spark, spec, root)
-    return with_origin(scan_parquet(spark, path, schema, recursive), spec)
+    return with_origin(scan_parquet(spark, path, schema, recursive, tolerant), spec)
 
 
 def read_corpus(spark: SparkSession, path: str, source: str | None = None, split: str | None = None) -> DataFrame:

@@ -26,11 +26,13 @@ from ..specs import SourceSpec
 
 class IncrementalBuild:
     def __init__(self, spark: SparkSession, spec: SourceSpec, raw_root: str, out_root: str,
-                 schema: T.StructType | None = None, files_per_batch: int = 256, decoder: Decoder | None = None):
-        self.spark, self.spec, self.decoder = spark, spec, decoder
+                 schema: T.StructType | None = None, files_per_batch: int = 256, decoder: Decoder | None = None,
+                 tolerant: bool = False):
+        """``tolerant`` skips unreadable files; they stay in :meth:`remaining_files`."""
+        self.spark, self.spec, self.decoder, self.tolerant = spark, spec, decoder, tolerant
         self.raw_root, self.out, self.files_per_batch = raw_root, out_root.rstrip("/"), files_per_batch
         self.folder, self.recursive = locate(spark, spec, raw_root)
-        self.schema = schema or scan_parquet(spark, self.folder, recursive=self.recursive).schema
+        self.schema = schema or scan_parquet(spark, self.folder, None, self.recursive, tolerant).schema
 
     def _path(self, part: str, batch_id: int | None = None) -> str:
         return f"{self.out}/{part}" if batch_id is None else f"{self.out}/{part}/batch_id={batch_id}"
@@ -48,6 +50,7 @@ class IncrementalBuild:
         reader = (
             self.spark.readStream.schema(self.schema)
             .option("maxFilesPerTrigger", self.files_per_batch).option("pathGlobFilter", "*.parquet")
+            .option("ignoreCorruptFiles", str(self.tolerant).lower())
         )
         if self.recursive:
             reader = reader.option("recursiveFileLookup", "true")
@@ -63,7 +66,7 @@ class IncrementalBuild:
         files = [r[0] for r in batch.distinct().collect()]
         if not files:
             return
-        raw = with_origin(scan_parquet(self.spark, files, self.schema), self.spec)
+        raw = with_origin(scan_parquet(self.spark, files, self.schema, tolerant=self.tolerant), self.spec)
         rows = staged_rows(raw, self.spec, self.decoder, base=self._base(batch_id))
         with audio_batches(self.spark):
             write_shards(rows, self._path("rows", batch_id), self.spec.rows_per_file, ("_status", "source", "split"))
