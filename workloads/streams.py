@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxloom.plans import build as batch
-from voxloom.session import scratch_path
+from voxloom.session import scratch_path, spread
 from voxloom.sources.files import list_files
 from voxloom.specs import SourceSpec
 from voxloom.streaming import totals
@@ -34,7 +34,7 @@ def thirds(spark, path: str) -> int:
 def raw_feed(spark, d) -> str:
     """Raw files of a source with text, samples and rate, made from the tables; as many as the data gives."""
     root = scratch_path(spark, "raw")
-    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    docs = spread(table(spark, d, "documents").select("doc_id", "text", "lang"))
     audio = table(spark, d, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.col("embedding").alias("audio"), "label", F.lit("16.0").alias("samplerate"))
     docs.join(audio, "doc_id", "left").write.partitionBy("lang").parquet(f"{root}/{FEED.path}")
