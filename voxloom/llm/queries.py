@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import quality, rules
+from voxloom.llm import neardup, quality, rules
 from voxloom.llm.common import prepared
 from voxloom.llm.rules_sql import RULES_SQL
 
@@ -49,3 +49,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bradley-Terry quality scores of all documents, learnt outside the held-out fold."""
     return quality.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+@query("op5_minhash_near_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, similarity 0.85 or more."""
+    return neardup.near_duplicates(documents(spark, sf_dir))
