@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import neardup, quality, rules
+from voxloom.llm import neardup, quality, rules, secrets
 from voxloom.llm.common import prepared
 from voxloom.llm.rules_sql import RULES_SQL
 
@@ -55,3 +55,10 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: 3-word shingles, similarity 0.85 or more."""
     return neardup.near_duplicates(documents(spark, sf_dir))
+
+
+@query("op9_secret_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents."""
+    return secrets.scan(documents(spark, sf_dir)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
