@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import neardup, quality, rules, secrets
+from voxloom.llm import neardup, packing, quality, rules, secrets
 from voxloom.llm.common import prepared
 from voxloom.llm.rules_sql import RULES_SQL
 
@@ -62,3 +62,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents."""
     return secrets.scan(documents(spark, sf_dir)).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+def pieces(packed: DataFrame) -> DataFrame:
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of 4096 ids, filled with lexical neighbours."""
+    return pieces(packing.pack(documents(spark, sf_dir)))
