@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import neardup, packing, quality, rules, secrets
+from voxloom.llm import bpe, neardup, packing, quality, rules, secrets, tokencount
 from voxloom.llm.common import prepared
 from voxloom.llm.rules_sql import RULES_SQL
 
@@ -72,3 +72,15 @@ def pieces(packed: DataFrame) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in windows of 4096 ids, filled with lexical neighbours."""
     return pieces(packing.pack(documents(spark, sf_dir)))
+
+
+@query("op2_bpe_codec")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE round trip of all documents through the token automaton."""
+    return bpe.encode_decode(documents(spark, sf_dir))
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of all documents."""
+    return tokencount.token_counts(documents(spark, sf_dir))
