@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bpe, neardup, packing, quality, rules, secrets, tokencount
+from voxloom.llm import ann, bpe, neardup, packing, quality, rules, secrets, sharding, tokencount
 from voxloom.llm.common import prepared
 from voxloom.llm.rules_sql import RULES_SQL
 
@@ -84,3 +84,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram token counts of all documents."""
     return tokencount.token_counts(documents(spark, sf_dir))
+
+
+@query("op8_sharding")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near equal bytes."""
+    d = sharding.shard_by_bytes(documents(spark, sf_dir).select("doc_id", "text"))
+    return d.select("doc_id", "size", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+                    F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op1_ann")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten nearest vectors of every hundredth one, through balanced posting lists."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
