@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import ann, bpe, neardup, packing, quality, rules, secrets, sharding, tokencount
+from voxloom.llm import ann, bpe, licenses, neardup, packing, quality, rules, secrets, sharding, tokencount
 from voxloom.llm.common import prepared
 from voxloom.llm.rules_sql import RULES_SQL
 
@@ -99,3 +99,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten nearest vectors of every hundredth one, through balanced posting lists."""
     vectors = table(spark, sf_dir, "embeddings")
     return ann.search(vectors, vectors.filter(F.col("vec_id") % 100 == 0))
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence paragraphs of all documents."""
+    return licenses.scan(documents(spark, sf_dir))
