@@ -86,8 +86,31 @@ def quiet_tokenizers() -> None:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
-def text_spread(df: DataFrame, sf_dir: str | None = None) -> DataFrame:
-    """Deal a small scan out to all cores; larger scans stay where they are read."""
-    from voxloom.session import spread
-
-    return spread(df)
+def text_spread(df: DataFrame) -> DataFrame:
+    """Deal a scan of fewer parts than cores out to all cores; larger scans stay where they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+class Kept(dict):
+    """Results of ``make`` for the keys met lately: of two generations, the older one goes when the newer is full."""
+
+    limit = 300_000
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def make(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+        if len(key) < 100:
+            self[key] = value
+        return value

@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import col, ids_and_texts, saved, text_spread
+from voxloom.llm.common import Kept, col, ids_and_texts, saved, text_spread
 from voxloom.llm.components import components
+from voxloom.session import small_side
 
 #: A pair at similarity 0.85 misses all bands with a chance of (1 - 0.85^5)^22, about 2.5e-6.
 BANDS, ROWS = 22, 5
@@ -37,6 +38,8 @@ BATCH = 22
 MISS = 1e-6
 #: A block of a bucket holds about this many shingles and at most this many classes.
 BLOCK_SHINGLES, BLOCK_CLASSES = 400_000, 2000
+#: Ids of classes that share a bucket are broadcast up to this many, beyond that joined by a shuffle.
+MAX_SENT = 500_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _RNG = np.random.default_rng(20240)
@@ -50,14 +53,11 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-class _Words(dict):
-    """64-bit hashes of words; forgets when it grows."""
+class _Words(Kept):
+    """64-bit hashes of words."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
+    def make(self, word: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
 def shingle_set(text: str | None, k: int, words: dict) -> np.ndarray:
@@ -221,15 +221,20 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_i
     same = rows.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
     member = saved(rows.select("doc_id", "n_shingles", "set_hash").distinct().join(same, "set_hash", "left")
                    .select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "members")
-    reps = rows.filter("n_shingles > 0").join(same, (rows.set_hash == same.set_hash) & (rows.doc_id == same.rep), "left_semi")
-    reps = reps.dropDuplicates(["doc_id"]) if _repeats(reps) else reps
-    buckets = reps.select(F.col("doc_id").alias("id"), "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+    unique = not _repeats(rows)
+    reps = rows.filter("n_shingles > 0")
+    if not unique:  # one text for each id; the others of its texts are reached through their own classes
+        reps = saved(reps.join(same, (rows.set_hash == same.set_hash) & (rows.doc_id == same.rep), "left_semi").dropDuplicates(["doc_id"]), "representatives")
+    banded = reps.select("doc_id", "n_shingles", "bands").join(same, F.col("doc_id") == F.col("rep"), "left_semi")
+    buckets = banded.select(F.col("doc_id").alias("id"), "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     first = buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
     shared = saved(buckets.join(first.filter("n > 1"), "bucket"), "buckets")
 
     # Round one: every class against the first of its bucket.
     pairs = shared.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    data = reps.select(F.col("doc_id").alias("id"), "sig", "shingles")
+    # Few classes share a bucket: their sets are taken out without a shuffle, where the ids are few enough to send.
+    wanted = small_side(shared.select(F.col("id").alias("doc_id")).distinct(), MAX_SENT)
+    data = saved(reps.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "sig", "bands", "shingles"), "sets")
     left = data.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), F.col("shingles").alias("set_a"))
     right = data.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), F.col("shingles").alias("set_b"))
     one = saved(_confirm_pairs(pairs.join(right, "b").join(left, "a"), percent), "links")
@@ -243,7 +248,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_i
                  .withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int")))
     # A bucket of several blocks: one task for each pair of blocks, and one for each block.
     open_rows = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    full = open_rows.join(reps.select(F.col("doc_id").alias("id"), "sig", "bands", "shingles"), "id").select(
+    full = open_rows.join(data, "id").select(
         "bucket", "band", "id", "component", "block", "sig", "bands", "shingles",
         F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"))
     two = full.groupBy("bucket", "b1", "b2").applyInArrow(_links_in_bucket(percent), "a long, b long")
@@ -251,7 +256,7 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_i
 
     labels = member.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    return _joined_ids(labels) if _repeats(member) else labels.withColumnRenamed("component", "component_id")
+    return _joined_ids(labels) if not unique else labels.withColumnRenamed("component", "component_id")
 
 
 def _repeats(rows: DataFrame) -> bool:
