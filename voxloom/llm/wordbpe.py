@@ -10,16 +10,15 @@ import re
 
 import numpy as np
 
-from voxloom.llm.common import quiet_tokenizers
+from voxloom.llm.common import Kept, quiet_tokenizers
 
-KEPT = 250_000
 # Letters and numbers among the first 256 code points (fixed values); pieces beyond go through the library whole.
 _LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
 _NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _PARTS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_LETTERS}{_NUMBERS}]+")
 _BEYOND = re.compile("[^\x00-\xff]")
 #: White space to Python, but not to the vocabulary's pattern.
-_CONTROLS = re.compile("[\x1c-\x1f]")
+_CONTROLS = "\x1c\x1d\x1e\x1f"
 
 
 def byte_letters() -> dict[int, str]:
@@ -35,41 +34,41 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordIds(dict):
+class WordIds(Kept):
     """``white-space piece -> ids`` as bytes of little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str | None = None):
+        super().__init__()
         quiet_tokenizers()
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path or default_path())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
+        self.tokens = self.tokenizer.model.tokenize
         self.letters = byte_letters()
-        self.parts: dict[str, bytes] = {}
+        self.packed = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
+        self.short: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def part(self, part: str) -> bytes:
-        ids = self.model.tokenize("".join(map(self.letters.__getitem__, part.encode())))
-        out = np.asarray([t.id for t in ids], "<u4").tobytes()
+        name = part if part.isascii() and part.isprintable() else "".join(map(self.letters.__getitem__, part.encode()))
+        packed = self.packed
+        out = b"".join([packed[t.id] for t in self.tokens(name)])
         if len(part) < 4:
-            self.parts[part] = out
+            self.short[part] = out
         return out
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > KEPT:
-            self.clear()
+    def make(self, piece: str) -> bytes:
+        if piece.isalpha() and piece.isascii():
+            return self.part(piece.lower())
         if _BEYOND.search(piece) or "<|" in piece or len(piece) > 1000:
-            out = self.whole(piece)
-        else:
-            out = b"".join(self.parts.get(p) or self.part(p) for p in _PARTS.findall(piece.lower()))
-        self[piece] = out
-        return out
+            return self.whole(piece)
+        return b"".join([self.short.get(p) or self.part(p) for p in _PARTS.findall(piece.lower())])
 
     def encode(self, text: str) -> np.ndarray:
-        if _CONTROLS.search(text):
+        if any(c in text for c in _CONTROLS):
             return np.frombuffer(self.whole(text), "<u4")
         return np.frombuffer(b"".join(map(self.__getitem__, text.split())), "<u4")
