@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import ids_and_texts, per_text
+from voxloom.llm.common import Kept, ids_and_texts, per_text
 from voxloom.llm.wordbpe import byte_letters
 
 KEPT = 250_000
@@ -113,10 +113,11 @@ class Automaton:
         return [self.outside[t] for t in tokens]
 
 
-class Codec(dict):
+class Codec(Kept):
     """Words to their ids, as decimals joined by commas; built from a byte-level BPE vocabulary file."""
 
     def __init__(self, path: str | None = None):
+        super().__init__()
         if path is None:
             import public_tokenizers
 
@@ -140,13 +141,8 @@ class Codec(dict):
         self.fast = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{latin}]+| ?[0-9]+| ?[^\\s0-9{latin}]+|\\s+(?!\\S)|\\s+")
         self.arcs = {str(i): t for t, i in vocab.items()} | {str(i): t.encode() for t, i in special.items()}
 
-    def __missing__(self, word: str) -> str:
-        if len(self) > KEPT:
-            self.clear()
-        out = ",".join(map(str, self.automaton.path(word.encode())))
-        if len(word) < 100:
-            self[word] = out
-        return out
+    def make(self, word: str) -> str:
+        return ",".join(map(str, self.automaton.path(word.encode())))
 
     def _words(self, text: str) -> list[str]:
         return self.fast.findall(text) if self.plain.fullmatch(text) else self.words.findall(text)

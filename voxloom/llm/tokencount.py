@@ -24,11 +24,10 @@ import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import ids_and_texts, per_text
+from voxloom.llm.common import Kept, ids_and_texts, per_text
 
 MARK = "▁"
 UNKNOWN_COST = 10.0
-KEPT = 250_000
 
 
 def vocabulary(path: str | None = None) -> list[tuple[str, float]]:
@@ -44,10 +43,11 @@ def vocabulary(path: str | None = None) -> list[tuple[str, float]]:
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
 
 
-class Counter(dict):
+class Counter(Kept):
     """Words to their number of pieces."""
 
     def __init__(self, pieces: list[tuple[str, float]]):
+        super().__init__()
         is_byte = re.compile("<0x[0-9A-F]{2}>").fullmatch
         self.has_bytes = sum(1 for p, _ in pieces if is_byte(p)) == 256
         usual = [(p, s) for p, s in pieces if p and not (self.has_bytes and is_byte(p))]
@@ -58,15 +58,7 @@ class Counter(dict):
         self.unknown = min((s for _, s in usual), default=0.0) - UNKNOWN_COST
         self.splits = all(MARK not in p.lstrip(MARK) for p, _ in usual)
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > KEPT:
-            self.clear()
-        n = self._count(word)
-        if len(word) < 100:
-            self[word] = n
-        return n
-
-    def _count(self, word: str) -> int:
+    def make(self, word: str) -> int:
         n = len(word)
         score = [0.0] + [None] * n
         pieces = [0] * (n + 1)
@@ -95,7 +87,7 @@ class Counter(dict):
             return 0
         marked = MARK + text.replace(" ", MARK)
         if not self.splits:
-            return self._count(marked)
+            return self.make(marked)
         # Words begin at a mark that follows another character; runs of marks stay with what follows them.
         return sum(map(self.__getitem__, _WORDS.findall(marked)))
 
