@@ -56,6 +56,8 @@ def _mix(h: np.ndarray) -> np.ndarray:
 class _Words(Kept):
     """64-bit hashes of words."""
 
+    limit = 200_000
+
     def make(self, word: bytes) -> int:
         return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
@@ -133,8 +135,8 @@ def _survivors(sig: np.ndarray, others: np.ndarray, needed: list[tuple[int, int]
 SKETCH = "doc_id long, n_shingles long, set_hash binary, sig binary, bands array<long>, shingles binary"
 
 
-def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """One row per input row; ``shingles`` holds the sorted hashes as little-endian 64-bit values."""
+def sketches(docs: DataFrame, k: int, with_sets: bool = False) -> DataFrame:
+    """One row per input row; ``shingles`` holds the sorted hashes as little-endian 64-bit values, if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words()
@@ -144,8 +146,8 @@ def sketches(docs: DataFrame, k: int) -> DataFrame:
                 s = shingle_set(t.as_py(), k, words)
                 sig = signature(s) if len(s) else None
                 n.append(len(s))
-                sets.append(s.tobytes())
-                hashes.append(hashlib.blake2b(sets[-1], digest_size=16).digest())
+                sets.append(s.tobytes() if with_sets else None)
+                hashes.append(hashlib.blake2b(s, digest_size=16).digest())
                 sigs.append(None if sig is None else sig.astype(np.uint8).tobytes())
                 bands.append([] if sig is None else band_hashes(sig))
             yield pa.RecordBatch.from_arrays(
@@ -232,9 +234,13 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_i
 
     # Round one: every class against the first of its bucket.
     pairs = shared.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    # Few classes share a bucket: their sets are taken out without a shuffle, where the ids are few enough to send.
+    # Few classes share a bucket: only their sets are made, from the texts once more, so the sets of all texts are
+    # never written.  No shuffle, where the ids are few enough to send.
     wanted = small_side(shared.select(F.col("id").alias("doc_id")).distinct(), MAX_SENT)
-    data = saved(reps.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "sig", "bands", "shingles"), "sets")
+    data = sketches(base.join(wanted, "doc_id", "left_semi"), k, with_sets=True)
+    if not unique:
+        data = data.join(reps.select("doc_id", "set_hash"), ["doc_id", "set_hash"], "left_semi").dropDuplicates(["doc_id"])
+    data = saved(data.select(F.col("doc_id").alias("id"), "sig", "bands", "shingles"), "sets")
     left = data.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), F.col("shingles").alias("set_a"))
     right = data.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), F.col("shingles").alias("set_b"))
     one = saved(_confirm_pairs(pairs.join(right, "b").join(left, "a"), percent), "links")
