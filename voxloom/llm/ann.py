@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import col, saved
+from voxloom.llm.common import bounded_sample, col, saved
 
 SAMPLE_ROWS, MAX_CENTROIDS = 20_000, 8192
 TARGET_ROWS, LIST_ROWS = 256, 4096
@@ -161,7 +161,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
     schema = "query_id long, rank int, vec_id long, score double"
     if not n:
         return vectors.sparkSession.createDataFrame([], schema)
-    sample = points.orderBy(F.xxhash64("point")).limit(SAMPLE_ROWS).select("point", "v").orderBy("point").toArrow()
+    sample = bounded_sample(points.select("point", "v"), "point", SAMPLE_ROWS).orderBy("point").toArrow()
     x = _matrix(sample["v"])
     graph = Graph(halved(x, int(min(MAX_CENTROIDS, max(1, -(-n // TARGET_ROWS)), max(1, len(x) // 4)))))
 

@@ -92,6 +92,17 @@ def text_spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def bounded_sample(df: DataFrame, key: str, n: int) -> DataFrame:
+    """About ``n`` rows of any number, at most ``n``: those with the smallest hash of ``key``.
+
+    Rows beyond half as many again are left out where they are read, so tasks return only their share.
+    """
+    rows = df.count()
+    draw = F.pmod(F.xxhash64(key, F.lit("draw")), F.lit(1 << 40))
+    few = df.filter(draw < int((1 << 40) * min(1.0, 1.5 * n / max(1, rows)))) if rows > 2 * n else df
+    return few.orderBy(draw, key).limit(n)
+
+
 class Kept(dict):
     """Results of ``make`` for the keys met lately: of two generations, the older one goes when the newer is full."""
 

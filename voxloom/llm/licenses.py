@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import ids_and_texts, per_text
+from voxloom.llm.common import bounded_sample, ids_and_texts, per_text
 
 TEMPLATES = {
     "apache-2.0": ("Licensed under the Apache License, Version 2.0.",
@@ -145,8 +145,8 @@ class Model:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Plain examples come from at most :data:`MAX_TEXTS` texts (smallest hash of id, first 4,000 characters)."""
-    d = ids_and_texts(docs, id_col, text_col).filter("length(text) > 0")
-    rows = d.orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id", F.substring("text", 1, 4000).alias("text")).limit(MAX_TEXTS).collect()
+    d = ids_and_texts(docs, id_col, text_col)
+    rows = bounded_sample(d, "doc_id", MAX_TEXTS).select(F.substring("text", 1, 4000).alias("text")).filter("length(text) > 0").collect()
     return Model([r.text for r in rows])
 
 
