@@ -115,3 +115,25 @@ def test_checks_find_what_is_wrong(spark):
     assert all(ok for _, ok in quality.verify_schema(df.drop("split")))
     paths = spark.createDataFrame([(("x.wav",),), ((None,),), ((" ",),)], "audio struct<path:string>")
     assert quality.external_paths(paths).count() == 1
+
+
+def test_null_keys_and_positions_keep_their_rows(spark):
+    from voxloom.operators import runs
+
+    rows = spark.createDataFrame([("a", 0), (None, 1), (None, 5), ("a", None)], "split string, pos long")
+    got = {(r.split, r.pos): r.row_index for r in identity.with_row_index(rows, ["split"], "pos").collect()}
+    assert got == {("a", None): 0, ("a", 0): 1, (None, 1): 0, (None, 5): 1}
+    timed = spark.createDataFrame([("a", 1, True), ("a", 2, True), (None, 1, True), ("a", None, True)], "k string, t long, f boolean")
+    blocked = timed.withColumn("_block", timed.t)
+    got = {(r.k, r.t): r.run_length for r in runs.with_run_length(blocked, ["k"], ["t"], timed.f).collect()}
+    assert got == {("a", None): 1, ("a", 1): 2, ("a", 2): 3, (None, 1): 1}
+
+
+def test_registry_loses_no_row(spark):
+    from voxloom.operators.joins import apply_registry
+
+    rows = spark.createDataFrame([("x",), (None,)], "source string")
+    known = spark.createDataFrame([("x", 1), (None, 2)], "source string, rate int")
+    assert {(r.source, r.rate) for r in apply_registry(rows, known).collect()} == {("x", 1), (None, 2)}
+    with pytest.raises(Exception, match="no settings for"):
+        apply_registry(spark.createDataFrame([("y",)], "source string"), known).collect()

@@ -23,7 +23,7 @@ def _decoder(name: str | None):
 
 
 def _show(df) -> None:
-    df.show(1000, truncate=False)
+    df.show(max(1, df.count()), truncate=False)  # reports: whole, however long
 
 
 def cmd_build(spark, a) -> None:

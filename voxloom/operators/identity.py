@@ -17,6 +17,7 @@ from ..functions.text import WHITESPACE, falsy_to_empty
 from ..session import small_side
 from ..specs import SourceSpec
 from .blocks import BLOCK, range_blocks
+from .joins import null_safe_join
 
 
 MAX_FILES = 1_000_000  # per-file offsets (about 100 bytes each) are broadcast up to this many files
@@ -43,7 +44,7 @@ def with_row_index(
     ``block_rows`` consecutive positions therefore holds at most that many rows,
     whatever the size of its key.  If positions are so sparse that a key would
     have more than ``max_blocks`` blocks, the rows are cut by ranges instead.
-    Pass narrow rows without nulls in these columns.
+    Pass narrow rows.  Null keys are a group of their own; a null position comes first in its key.
     """
     group = [*keys, *files, BLOCK]
     blocked = df.withColumn(BLOCK, F.call_function("div", F.col(position).cast("long"), F.lit(block_rows)))
@@ -56,8 +57,7 @@ def with_row_index(
     offsets = block_offsets(sizes, keys, [c for c in group if c not in keys], "_rows", "_offset").drop("_rows")
     # One partitioning by block serves the rank and the join.
     return (
-        blocked.withColumn("_rank", rank)
-        .join(offsets, group)
+        null_safe_join(blocked.withColumn("_rank", rank), offsets, group)
         .withColumn(out, (F.col("_offset") + F.col("_rank")).cast("long"))
         .drop(BLOCK, "_rank", "_offset")
     )
@@ -78,7 +78,7 @@ def with_file_index(df: DataFrame, keys: Sequence[str], file: str = "_file", pos
         offsets = (
             offsets.join(base, list(keys), "left") if keys else offsets.crossJoin(base)
         ).withColumn("_offset", F.col("_offset") + F.coalesce("base", F.lit(0))).drop("base")
-    joined = df.join(small_side(offsets, MAX_FILES), [*keys, file])
+    joined = null_safe_join(df, small_side(offsets, MAX_FILES), [*keys, file])
     return joined.withColumn(out, F.col("_offset") + F.col(position)).drop("_offset")
 
 

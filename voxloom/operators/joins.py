@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,5 +59,21 @@ def without_existing(rows: DataFrame, existing: DataFrame, keys: Sequence[str])
 
 
 def apply_registry(rows: DataFrame, registry: DataFrame, on: Sequence[str] | str = "source") -> DataFrame:
-    """Attach the settings of each row's source; the registry holds one row per source."""
-    return rows.join(small_side(registry, 10_000), on, "inner")
+    """Attach the settings of each row's source; the registry holds one row per source.
+
+    No row is lost: a source that the registry does not know, or a null one, fails the query with its name.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    marked = registry.withColumn("_known", F.lit(True))
+    joined = null_safe_join(rows, small_side(marked, 10_000), keys, "left")
+    named = F.concat(F.lit("no settings for "), F.to_json(F.struct(*keys)))
+    first = next(c for c in registry.columns if c not in keys)
+    # Checked in a projection: a filter would let the optimizer turn the join into an inner one.
+    return joined.withColumn(first, F.when(F.col("_known"), F.col(first)).otherwise(F.raise_error(named))).drop("_known")
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null; the keys of the left side stay."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_right_{k}"]) for k in keys])
+    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from .blocks import BLOCK
+from .joins import null_safe_join
 
 
 def with_run_length(df: DataFrame, keys: Sequence[str], order: Sequence[str], flag: Column, out: str = "run_length") -> DataFrame:
@@ -21,6 +22,7 @@ def with_run_length(df: DataFrame, keys: Sequence[str], order: Sequence[str], fl
 
     ``df`` has a column ``_block`` (see :mod:`voxloom.operators.blocks`) that
     grows with ``order`` and bounds how many rows one task sorts; it is dropped.
+    Rows with null keys are a group of their own, rows with a null order come first.
     """
     rows = df.withColumn("_flag", flag.cast("int"))
     in_block = W.partitionBy(*keys, BLOCK).orderBy(*order)
@@ -41,7 +43,7 @@ def with_run_length(df: DataFrame, keys: Sequence[str], order: Sequence[str], fl
         F.max(F.when(~full, F.struct(BLOCK, (F.col("_n") - F.col("_last_gap") - F.col("_full_rows")).alias("d"))))
         .over(before))
     summary = blocks.select(*keys, BLOCK, (F.col("_all") + F.coalesce("_since.d", F.lit(0))).alias("_carry"))
-    joined = rows.join(summary, [*keys, BLOCK])
+    joined = null_safe_join(rows, summary, [*keys, BLOCK])
     length = F.when(F.col("_flag") == 0, F.lit(0)).otherwise(
         F.col("_at") - F.col("_gap") + F.when(F.col("_gap") == 0, F.col("_carry")).otherwise(F.lit(0)))
     return joined.withColumn(out, length.cast("long")).drop(

@@ -121,9 +121,9 @@ def annotate(raw: DataFrame, spec: SourceSpec, keep_samples: bool = True, decode
     return rows
 
 
-def unified_columns(params: SignalParams) -> list[Column]:
-    """The unified schema from annotated rows with an ``utt_id``."""
-    n, rate, text = F.col("n_samples"), F.lit(params.target_sr), F.col("text")
+def unified_columns(params: SignalParams, rate: Column | None = None) -> list[Column]:
+    """The unified schema from annotated rows with an ``utt_id``; ``rate`` where rows have rates of their own."""
+    n, rate, text = F.col("n_samples"), F.lit(params.target_sr) if rate is None else rate, F.col("text")
     words = txt.num_words(text)
     return [
         F.col("utt_id"),

@@ -32,8 +32,10 @@ RECOMMENDED = {
 
 # A waveform reaches 640,000 floats, so scans and Arrow batches with audio hold few rows at a time.
 AUDIO_BATCHES = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1024",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # Few output folders per task: no sort of rows with audio by folder.
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
     "spark.sql.parquet.columnarReaderBatchSize": "64",
 }
 
@@ -137,14 +139,14 @@ def spread(df: DataFrame, bytes_per_task: int = 1 << 20, small_bytes: int = 128
     return df.repartition(tasks) if 1 < tasks and size < cores * small_bytes else df
 
 
-def small_side(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark ``df`` for broadcast if it is proven to hold at most ``max_rows`` rows.
+def small_side(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 128 << 20) -> DataFrame:
+    """Mark ``df`` for broadcast if it is proven to hold at most ``max_rows`` rows and ``max_bytes``.
 
     The check is an action on ``df`` (meant for narrow, already aggregated
     frames such as per-file counts).  Larger frames come back unhinted, so the
     join shuffles instead.
     """
     rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
+    if rows.num_rows > max_rows or rows.nbytes > max_bytes:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -18,7 +18,8 @@ def write_shards(df: DataFrame, path: str, rows_per_file: int, partition_by: Seq
 
     Rows are written where they are: waveforms do not cross a shuffle.
     """
-    writer = df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).option("compression", "snappy")
+    # Static: splits that are no longer in the data go, whatever the session prefers.
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static").option("maxRecordsPerFile", rows_per_file).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

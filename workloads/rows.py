@@ -28,13 +28,13 @@ def _gate(spark, d, code: str):
 
 @query("unify_schema", f"""
 WITH {SQL_ANNOTATED}
-SELECT utt_id, {_SQL_SAMPLES} AS samples, 16::BIGINT AS sampling_rate, text, duration, n::BIGINT AS n_samples, speaker_id, snr_db, rms_db,
+SELECT utt_id, {_SQL_SAMPLES} AS samples, sr::BIGINT AS sampling_rate, text, duration, n::BIGINT AS n_samples, speaker_id, snr_db, rms_db,
        num_chars::BIGINT AS num_chars, num_words::BIGINT AS num_words, speaking_rate
-FROM kept WHERE sr = 16""")
+FROM kept""")
 def unify_schema(spark, d):
-    """The eleven columns of kept rows at the common rate; the audio struct is shown as digits."""
-    rows = kept(spark, d, keep_samples=True, keep_text=True).filter(F.col("target_sr") == RATE)
-    unified = rows.select(*unified_columns(PARAMS))
+    """The eleven columns of kept rows at their own rates; the audio struct is shown as digits."""
+    rows = kept(spark, d, keep_samples=True, keep_text=True)
+    unified = rows.select(*unified_columns(PARAMS, F.col("target_sr")))
     return unified.select(
         "utt_id", digits(F.col("audio.array")).alias("samples"), long("audio.sampling_rate", "sampling_rate"), "text",
         F.col("duration").cast("double").alias("duration"), long("n_samples"), "speaker_id",

@@ -130,7 +130,7 @@ FROM documents JOIN settings s USING (source) GROUP BY 1""")
 def source_registry(spark, d):
     """Registry entries with the rows that the tables hold for each."""
     feeds = table(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    named = apply_registry(feeds, settings(spark).select("source", "registered")).groupBy(
+    named = apply_registry(feeds, settings(spark, d).select("source", "registered")).groupBy(
         F.col("registered").alias("source")).agg(
         F.sum("n").cast("long").alias("n_rows"), F.count(F.lit(1)).alias("n_feeds"))
     return apply_registry(named, scan.registry_frame(spark)).select("source", "max_s", "n_rows", "n_feeds")
@@ -166,7 +166,7 @@ SELECT doc_id, CASE s.sr WHEN 256 THEN 256 WHEN 1 THEN 16000 ELSE 16 END::BIGINT
 def source_rate(spark, d):
     """Rates given as numbers in text, with the default where there is none."""
     raw = F.when(F.col("target_sr") == FAST_RATE, "256.0").when(F.col("target_sr") == SLOW_RATE, F.lit(None)).otherwise("16")
-    rows = apply_registry(documents(spark, d).select("doc_id", "source"), settings(spark))
+    rows = apply_registry(documents(spark, d).select("doc_id", "source"), settings(spark, d))
     return rows.select("doc_id", long(sig.source_rate(raw), "rate"))
 
 
@@ -197,7 +197,7 @@ SELECT source, lang AS split, max(s.max_s) AS max_s, max(s.sr)::BIGINT AS target
 FROM documents JOIN settings s USING (source) GROUP BY source, lang""")
 def apply_registry_query(spark, d):
     """Settings of each row's source, by a broadcast of the registry."""
-    rows = apply_registry(documents(spark, d).select("source", "split"), settings(spark))
+    rows = apply_registry(documents(spark, d).select("source", "split"), settings(spark, d))
     return rows.groupBy("source", "split").agg(
         F.max("max_s").alias("max_s"), long(F.max("target_sr"), "target_sr"), long(F.max("min_run"), "min_run"),
         F.count(F.lit(1)).alias("n_rows"))

@@ -46,7 +46,7 @@ def peak_normalize(spark, d):
 @query("duration", f"WITH {SQL_ANNOTATED} SELECT doc_id, duration FROM annotated WHERE n IS NOT NULL")
 def duration(spark, d):
     rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.size("embedding").alias("n"))
-    rated = apply_registry(documents(spark, d).select("doc_id", "source"), settings(spark))
+    rated = apply_registry(documents(spark, d).select("doc_id", "source"), settings(spark, d))
     return rated.join(rows, "doc_id").select("doc_id", sig.duration(F.col("n"), F.col("target_sr")).alias("duration"))
 
 
@@ -145,7 +145,7 @@ SELECT vec_id, (len(embedding) * {RATE} // s.sr)::BIGINT AS n_samples, CASE WHEN
 FROM embeddings JOIN documents ON doc_id = vec_id JOIN settings s USING (source)""")
 def resample_job(spark, d):
     """Rate conversion where the rate differs; the other rows bypass the worker."""
-    rated = apply_registry(documents(spark, d).select("doc_id", "source"), settings(spark)).select("doc_id", "target_sr")
+    rated = apply_registry(documents(spark, d).select("doc_id", "source"), settings(spark, d)).select("doc_id", "target_sr")
     rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding").join(rated, "doc_id")
     out = rows.select(F.col("doc_id").alias("vec_id"), "target_sr", resample_column(F.col("embedding"), F.col("target_sr"), RATE).alias("s"))
     return out.select("vec_id", long(F.size("s"), "n_samples"), F.when(F.col("target_sr") == RATE, digits(F.col("s"))).alias("unchanged"))

@@ -26,25 +26,29 @@ RATE = 16
 PARAMS = SignalParams(target_sr=RATE, clip_ms=125.0, clip_amp=0.8)
 FAST_SOURCES, SLOW_SOURCES = (3, 13), (5, 15)  # read at 256 and at 1 sample per second
 FAST_RATE, SLOW_RATE = 256, 1
-NUMBERED_SOURCES = 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settings(spark: SparkSession) -> DataFrame:
-    """One row per numbered source: its registry entry and limits."""
+def settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per source in ``documents``: its registry entry and limits, by the number in its name.
+
+    A source of another form (or null) has the limits of number 2.
+    """
     rows = []
-    for n in range(NUMBERED_SOURCES):
-        spec = REGISTRY[n % len(REGISTRY)]
-        rate = FAST_RATE if n in FAST_SOURCES else SLOW_RATE if n in SLOW_SOURCES else RATE
-        p = SignalParams(target_sr=rate, max_s=spec.signal.max_s, clip_ms=PARAMS.clip_ms, clip_amp=PARAMS.clip_amp)
-        rows.append((f"src{n}", spec.name, rate, p.min_s, p.max_s, p.min_run))
-    names = ("source", "registered", "target_sr", "min_s", "max_s", "min_run")
-    return spark.createDataFrame(
-        pa.Table.from_pylist([dict(zip(names, r)) for r in rows]),
-        "source string, registered string, target_sr int, min_s double, max_s double, min_run int")
+    for k, spec in enumerate(REGISTRY):
+        rows.append({"_k": k, "registered": spec.name, "min_s": PARAMS.min_s, "max_s": spec.signal.max_s,
+                     "_runs": [SignalParams(target_sr=r, max_s=spec.signal.max_s, clip_ms=PARAMS.clip_ms, clip_amp=PARAMS.clip_amp).min_run
+                               for r in (RATE, FAST_RATE, SLOW_RATE)]})
+    specs = spark.createDataFrame(pa.Table.from_pylist(rows), "_k int, registered string, min_s double, max_s double, _runs array<int>")
+    number = F.coalesce(F.regexp_extract("source", r"^src(\d{1,9})$", 1).try_cast("int"), F.lit(2))
+    sources = table(spark, sf_dir, "documents").select("source").distinct().withColumn("_n", number).withColumn("_k", F.col("_n") % len(REGISTRY))
+    fast, slow = F.col("_n").isin(*FAST_SOURCES), F.col("_n").isin(*SLOW_SOURCES)
+    return sources.join(F.broadcast(specs), "_k").select(
+        "source", "registered", F.when(fast, FAST_RATE).when(slow, SLOW_RATE).otherwise(RATE).alias("target_sr"), "min_s", "max_s",
+        F.when(fast, F.get("_runs", F.lit(1))).when(slow, F.get("_runs", F.lit(2))).otherwise(F.get("_runs", F.lit(0))).alias("min_run"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +96,7 @@ def annotated(spark: SparkSession, sf_dir: str, keep_samples: bool = False, keep
     Text and waveform are reduced to scalars before the join, so the shuffle
     carries neither unless asked to.
     """
-    texts = apply_registry(text_measures(spark, sf_dir, keep_text), settings(spark))
+    texts = apply_registry(text_measures(spark, sf_dir, keep_text), settings(spark, sf_dir))
     rows = texts.join(measured(spark, sf_dir, keep_samples), "doc_id", "left")
     text = F.when(F.col("no_text"), "").otherwise("x")
     n, rate, error = F.col("n_samples"), F.col("target_sr"), F.col("error")
