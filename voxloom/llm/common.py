@@ -14,11 +14,8 @@ from voxloom.session import hadoop_path, scratch_path, ship_package
 #: White space of the contracts: blank and the five ASCII controls, as a character class.
 WS = r"\x20\x09-\x0D"
 
-# Long texts must not meet in one Arrow batch of 10,000 rows.
-TEXT_BATCHES = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
-}
+# Long texts must not meet in one Arrow batch of 10,000 rows.  The number of records stays the session's.
+TEXT_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def prepared(spark: SparkSession) -> None:
@@ -28,7 +25,7 @@ def prepared(spark: SparkSession) -> None:
     """
     ship_package(spark)
     for key, value in TEXT_BATCHES.items():
-        if spark.conf.get(key, None) in (None, "10000", "-1", "256MB", str(256 << 20)):
+        if spark.conf.get(key, None) in (None, "-1", "256MB", "268435456b", str(256 << 20)):
             spark.conf.set(key, value)
 
 
