@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from functools import lru_cache
 
 import regex
 from pyspark.sql import DataFrame
@@ -161,11 +162,17 @@ class Codec(Kept):
         return b"".join(map(self.arcs.__getitem__, ids)).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def codec_of(path: str | None = None) -> Codec:
+    """Compiled once in a Python worker, which runs many tasks; the words it keeps are bounded."""
+    return Codec(path)
+
+
 def encode_decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: the round trip in digests."""
 
     def row():
-        codec = Codec(path)
+        codec = codec_of(path)
 
         def one(text: str):
             ids = codec.encode(text)
@@ -178,5 +185,5 @@ def encode_decode(docs: DataFrame, path: str | None = None, id_col: str = "doc_i
 
 def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids array<int>``."""
-    made = per_text(lambda: (lambda codec: lambda t: (list(map(int, codec.encode(t))),))(Codec(path)), "ids array<int>")
+    made = per_text(lambda: (lambda codec: lambda t: (list(map(int, codec.encode(t))),))(codec_of(path)), "ids array<int>")
     return ids_and_texts(docs, id_col, text_col).select("doc_id", made(F.col("text"))["ids"].alias("ids"))

@@ -19,6 +19,7 @@ ignored.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -95,11 +96,17 @@ class Counter(Kept):
 _WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
+@lru_cache(maxsize=2)
+def counter_of(path: str | None = None) -> Counter:
+    """Built once in a Python worker, which runs many tasks; the words it keeps are bounded."""
+    return Counter(vocabulary(path))
+
+
 def token_counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_tokens`` for every row."""
 
     def row():
-        counter = Counter(vocabulary(path))
+        counter = counter_of(path)
         return lambda text: (counter.count(text),)
 
     made = per_text(row, "n_tokens long")
