@@ -1,4 +1,5 @@
 import json
+import shutil
 from pathlib import Path
 
 import numpy as np
@@ -179,7 +180,7 @@ def test_incremental_continues_and_survives_a_failure(spark, tmp_path):
     assert job.remaining_files().count() == 1
 
     class Broken(IncrementalBuild):
-        def _write_progress(self, batch_id):
+        def _write_progress(self, *_):
             raise RuntimeError("lost after the rows were written")
 
     broken = Broken(spark, FEED, str(raw), str(tmp_path / "inc"), files_per_batch=1)
@@ -196,6 +197,51 @@ def test_incremental_continues_and_survives_a_failure(spark, tmp_path):
     assert len(state(again)) == 7
 
 
+def test_incremental_recovers_from_a_lost_checkpoint(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "inc"
+    feed_file(raw, "f0", 3, bad=1)
+    feed_file(raw, "f1", 2)
+    job = IncrementalBuild(spark, FEED, str(raw), str(out), files_per_batch=1)
+    job.run()
+    before = state(job)
+
+    class Lost(IncrementalBuild):
+        """Finds no checkpoint where the first runs left theirs."""
+
+        def _path(self, part, batch_id=None):
+            return super()._path("another" if part == "checkpoint" else part, batch_id)
+
+    # Rows of a batch that never finished.
+    shutil.copytree(out / "rows/batch_id=1", out / "rows/batch_id=2")
+    feed_file(raw, "f2", 2)
+    for _ in range(2):
+        Lost(spark, FEED, str(raw), str(out), files_per_batch=1).run()
+    after = [r.utt_id for r in job.rows().collect()]
+    assert len(after) == len(set(after)) == 8 and set(before) < set(state(job))
+    assert spark.read.json(str(out / "drop_log")).count() == 1
+    assert job.incomplete_files().count() == 0 and job.remaining_files().count() == 0
+
+
+def test_incremental_file_names(spark, tmp_path):
+    raw = tmp_path / "raw"
+    for name in ("a b", "c%20d", "e[1]", "f+g", "فارسی"):
+        feed_file(raw, name, 1)
+    job = IncrementalBuild(spark, FEED, str(raw), str(tmp_path / "inc"), files_per_batch=2)
+    job.run()
+    assert len(state(job)) == 5 and len({u for u, _ in state(job)}) == 5
+    assert job.remaining_files().count() == 0
+
+
+def test_splits_stay_text(spark, tmp_path):
+    path = str(tmp_path / "corpus")
+    rows = spark.createDataFrame([("a", s, "t", 4) for s in ("001", "01", "1")], "source string, split string, text string, n_samples int")
+    out = merge.merge_corpus(spark, [rows], path).head()[0]
+    assert json.loads(out) == {"splits": ["a_001", "a_01", "a_1"]}
+    again = merge.merge_corpus(spark, [rows], path).head()[0]
+    assert again == out and spark.read.parquet(path).count() == 3
+    assert [r.split for r in scan.read_corpus(spark, path, split="001").collect()] == ["001"]
+
+
 def test_corrupt_files(spark, tmp_path):
     root = tmp_path / "mixed"
     put(root / "good.parquet", doc=pa.array([1, 2, 3]))
@@ -300,6 +346,16 @@ def test_resolve_paths(spark, tmp_path):
     assert got == {1: b"x", 2: b"AAA", 3: None, 4: None, 5: None}
 
 
+def test_resolve_paths_with_equal_names(spark, tmp_path):
+    for folder in ("x", "y"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "a.wav").write_bytes(folder.encode())
+    rows = spark.createDataFrame([(1, (None, "x/a.wav")), (2, (None, "./y/a.wav")), (3, (None, "a.wav")), (4, (None, f"{tmp_path}/y/a.wav")), (5, (None, "z/a.wav"))],
+                                 "i int, audio struct<bytes:binary,path:string>")
+    got = [(r.i, r.audio.bytes and bytes(r.audio.bytes)) for r in joins.resolve_paths(rows, scan.binary_files(spark, str(tmp_path))).collect()]
+    assert sorted(got) == [(1, b"x"), (2, b"y"), (3, None), (4, b"y"), (5, None)]
+
+
 def test_command_line(spark, tmp_path, capsys, monkeypatch):
     from voxloom.__main__ import main
 

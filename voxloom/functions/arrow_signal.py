@@ -97,6 +97,8 @@ class _Batch:
             return self.fail(row, "no audio")
         if rate is None or rate <= 0:
             return self.fail(row, f"bad rate {rate}")
+        if not np.isfinite(x).all():
+            return self.fail(row, "non-finite samples")
         n = codec.resampled_length(len(x), rate, p.target_sr)
         self.columns["n_samples"][row] = n
         seconds = n / p.target_sr

@@ -23,16 +23,31 @@ def pair_audio(meta: DataFrame, audio: DataFrame, on: Sequence[str] | str = "id"
 def resolve_paths(rows: DataFrame, files: DataFrame, audio: str = "audio") -> DataFrame:
     """Fill the bytes of rows that only name a file, from ``files (path, content)``.
 
-    Names are compared without their folder.  Rows that already hold bytes, or
-    name no file, take no part in the join, where their empty keys would meet in
-    one task.
+    A row's path is compared as it stands with the end of the files' paths; if no
+    file ends so, its base name counts, but only if one file has it.  A name that
+    several files share is no match: the row keeps no bytes, and is not repeated.
+    Rows that already hold bytes, or name no file, take no part in the join,
+    where their empty keys would meet in one task.
     """
-    name = F.element_at(F.split(F.col(f"{audio}.path"), "/"), -1)
+    asked = F.regexp_replace(f"{audio}.path", "^(?:\\./|/)+", "")
     holds = F.octet_length(f"{audio}.bytes") > 0
     needs = F.coalesce(~holds, F.lit(True)) & F.coalesce(F.trim(f"{audio}.path") != "", F.lit(False))
-    found = files.select(F.element_at(F.split("path", "/"), -1).alias("_name"), F.col("content").alias("_content"))
+    wanted = rows.filter(needs).select(asked.alias("_asked")).distinct()
+    depth = F.size(F.split("_asked", "/"))
+    depths = sorted({1} | {r[0] for r in wanted.select(depth).distinct().collect()})  # as many as folders are deep
+    # Ends of the files' paths, counted before the join: a base name that many files share is one row.
+    ends = files.select("path", F.explode(F.array(*[F.substring_index("path", "/", -n) for n in depths])).alias("_end"))
+    ends = ends.distinct().groupBy("_end").agg(F.count(F.lit(1)).alias("_n"), F.min("path").alias("_path"))
+    by_name = ends.select(F.col("_end").alias("_name"), F.col("_n").alias("_n_named"), F.col("_path").alias("_named"))
+    matched = (
+        wanted.withColumn("_name", F.substring_index("_asked", "/", -1))
+        .join(ends, F.col("_asked") == F.col("_end"), "left").join(by_name, "_name", "left")
+        .select("_asked", F.when(F.col("_n") == 1, F.col("_path")).when(F.col("_n").isNull() & (F.col("_n_named") == 1), F.col("_named")).alias("_found"))
+        .filter("_found IS NOT NULL")
+    )
+    content = matched.join(files.select(F.col("path").alias("_found"), F.col("content").alias("_content")), "_found").select("_asked", "_content")
     filled = (
-        rows.filter(needs).withColumn("_name", name).join(found, "_name", "left")
+        rows.filter(needs).withColumn("_asked", asked).join(content, "_asked", "left")
         .withColumn(audio, F.struct(F.col("_content").alias("bytes"), F.col(f"{audio}.path").alias("path")))
         .select(*rows.columns)
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import without_existing
 from ..session import path_exists
 from ..sinks.files import balanced, manifest, rows_within, write_shards
+from ..sources.scan import read_keyed
 
 KEYS = ("source", "split")
 
@@ -28,7 +29,7 @@ def existing_keys(spark: SparkSession, path: str) -> DataFrame | None:
     """Saved ``(source, split)`` pairs, from partition values alone."""
     if not path_exists(spark, path):
         return None
-    return spark.read.parquet(path).select(*KEYS).distinct()
+    return read_keyed(spark, path, KEYS).select(*KEYS).distinct()
 
 
 def merge_corpus(spark: SparkSession, parts: Sequence[DataFrame], path: str, compact: bool = False) -> DataFrame:

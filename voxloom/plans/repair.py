@@ -9,6 +9,7 @@ from ..operators import quality
 from ..operators.dedup import drop_repeats, duplicate_counts
 from ..session import audio_batches
 from ..sinks.files import replace_in_place
+from ..sources.scan import read_keyed
 
 
 class CheckFailed(ValueError):
@@ -32,12 +33,17 @@ def require_good(df: DataFrame, target_sr: int = 16000) -> None:
 
 
 def dedup_table(spark: SparkSession, path: str, rows_per_file: int = 1024, target_sr: int = 16000) -> dict[str, int]:
-    """Keep the first row of every ``utt_id``, in file order, and return the counts."""
+    """Keep the first row of every ``utt_id`` and return the counts.
+
+    Files come in the order in which they were written: names of part files say nothing about it.
+    """
     counts = duplicate_counts(spark.read.parquet(path).select("utt_id"), ["utt_id"]).head().asDict()
     if counts["removed"]:
-        rows = spark.read.parquet(path)
-        placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_pos"))
-        clean = drop_repeats(placed, ["utt_id"], ["_file", "_pos"]).drop("_file", "_pos")
+        rows = read_keyed(spark, path)
+        placed = rows.select(
+            "*", F.col("_metadata.file_modification_time").alias("_time"), F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.row_index").alias("_pos"))
+        clean = drop_repeats(placed, ["utt_id"], ["_time", "_file", "_pos"]).drop("_time", "_file", "_pos")
         with audio_batches(spark):
             replace_in_place(spark, path, clean, lambda new: require_good(new, target_sr),
                              rows_per_file=rows_per_file, partition_by=("source", "split"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -57,9 +58,19 @@ def split_from_file() -> Column:
     return F.substring_index(file_stem(), "-", 1)
 
 
+def plain_path(uri: Column) -> Column:
+    """A path as people write it; ``_metadata.file_path`` is percent-encoded, but for its plus signs."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
+def literal_path(path: str) -> str:
+    """``path`` for a reader that would take brackets, braces, stars and question marks for a pattern."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def config_from_file() -> Column:
     """Name of the folder that holds the file; ``key=value`` folders give the value."""
-    return F.regexp_extract("_metadata.file_path", r"/(?:[^/=]+=)?([^/]+)/[^/]+$", 1)
+    return F.regexp_extract(plain_path(F.col("_metadata.file_path")), r"/(?:[^/=]+=)?([^/]+)/[^/]+$", 1)
 
 
 def config_short(config: Column, short: dict[str, str]) -> Column:
@@ -109,9 +120,16 @@ def scan_source(spark: SparkSession, spec: SourceSpec, root: str, schema: T.Stru
     return with_origin(scan_parquet(spark, path, schema, recursive, tolerant), spec)
 
 
+def read_keyed(spark: SparkSession, path: str, keys: Sequence[str] = ("source", "split")) -> DataFrame:
+    """A saved table whose ``keys`` are text: as a folder name, split ``001`` would be read as the number 1."""
+    schema = spark.read.parquet(path).schema
+    return spark.read.schema(T.StructType([
+        T.StructField(f.name, T.StringType(), f.nullable) if f.name in keys else f for f in schema])).parquet(path)
+
+
 def read_corpus(spark: SparkSession, path: str, source: str | None = None, split: str | None = None) -> DataFrame:
     """A built corpus; naming a source or split prunes the folders that are listed and read."""
-    df = spark.read.parquet(path)
+    df = read_keyed(spark, path)
     if source is not None:
         df = df.filter(F.col("source") == source)
     if split is not None:
