@@ -15,7 +15,8 @@ from voxloom.llm.common import prepared
 from voxloom.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
-CLASHING = SCHEMA + ", score double, kept boolean, size int, shard int, component_id long, n_tokens long, Votes string"
+CLASHING = SCHEMA + ", score double, kept boolean, size int, shard int, component_id long, n_tokens long, Votes string, "
+CLASHING += "_sum long, _row long, _parts long, _bytes long, _rows long, _first long, _gone long, _key long"
 PROSE = ("The quick brown fox jumps over the lazy dog and runs to the river for a drink of water. "
          "It is the end of the day, and the sun sets on the hills that lie by the sea.\n")
 
@@ -168,6 +169,9 @@ def test_near_duplicates_odd_rows(docs):
     assert by[1].component_id == 1 and by[1].n_shingles == 0
     kept = neardup.keep_one(clashing(docs))
     assert kept.columns[:5] == docs.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in rows if r.kept}
+    # Repeated rows are copies of one document; rows of one id with other texts are not.
+    repeats = Counter(r.doc_id for r in kept.collect())
+    assert repeats[5] == 1 and repeats[11] == 2 and repeats[None] == 1
 
 
 def test_components(spark):

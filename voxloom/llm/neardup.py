@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import Kept, col, ids_and_texts, saved, text_spread
+from voxloom.llm.common import Kept, col, fresh, ids_and_texts, saved, text_spread
 from voxloom.llm.components import components
 from voxloom.session import small_side
 
@@ -299,8 +299,11 @@ def _per_row(base: DataFrame, out: DataFrame, k: int) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are the first of their group, with all columns; rows without id stay.
 
-    Only the ids that go are joined against the texts.
+    Only the ids that go are joined against the texts.  Where ids repeat, one row of each id and text stays.
     """
-    gone = classes(docs, k, percent, id_col, text_col).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, col(docs, id_col).cast("long") == F.col("_gone"), "left_anti")
-    return kept
+    gone, key = fresh(docs, "_gone"), col(docs, id_col).cast("long")
+    leaving = classes(docs, k, percent, id_col, text_col).filter("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    if _repeats(docs.select(key.alias("doc_id")).filter("doc_id IS NOT NULL")):
+        named = docs.filter(key.isNotNull()).dropDuplicates([id_col, text_col])
+        docs = named.unionByName(docs.filter(key.isNull()))
+    return docs.join(leaving, col(docs, id_col).cast("long") == F.col(gone), "left_anti")
