@@ -70,7 +70,7 @@ def without_existing(rows: DataFrame, existing: DataFrame, keys: Sequence[str])
     The saved keys are few (one per split directory); up to the checked bound
     they are broadcast, so a hot split is filtered where it is read.
     """
-    return rows.join(small_side(existing.select(*keys).distinct(), 10_000), list(keys), "left_anti")
+    return null_safe_join(rows, small_side(existing.select(*keys).distinct(), 10_000), keys, "left_anti")
 
 
 def apply_registry(rows: DataFrame, registry: DataFrame, on: Sequence[str] | str = "source") -> DataFrame:

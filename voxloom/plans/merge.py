@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import without_existing
-from ..session import path_exists
+from ..session import hadoop_path, path_exists
 from ..sinks.files import balanced, manifest, rows_within, write_shards
-from ..sources.scan import read_keyed
 
 KEYS = ("source", "split")
+KEY_SCHEMA = "source string, split string"
+#: Finished splits, one JSON line each, written after their rows; readers of the corpus pass over ``_`` folders.
+FINISHED = "_merged/splits"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder name of a null key
 
 
 def union_sources(parts: Sequence[DataFrame]) -> DataFrame:
@@ -25,25 +29,54 @@ def split_key(df: DataFrame):
     return F.concat_ws("_", "source", "split")
 
 
-def existing_keys(spark: SparkSession, path: str) -> DataFrame | None:
-    """Saved ``(source, split)`` pairs, from partition values alone."""
-    if not path_exists(spark, path):
-        return None
-    return read_keyed(spark, path, KEYS).select(*KEYS).distinct()
+def split_folders(spark: SparkSession, path: str) -> dict[tuple, object]:
+    """``(source, split)`` and folder of every split below ``path``, from folder names; no file is opened."""
+    fs, root = hadoop_path(spark, path)
+
+    def below(folder, key: str):
+        for status in fs.listStatus(folder):
+            name = status.getPath().getName()
+            if name.startswith(f"{key}="):
+                value = name.removeprefix(f"{key}=")
+                yield None if value == NO_VALUE else unquote(value), status.getPath()
+
+    if not fs.exists(root):
+        return {}
+    return {(a, b): p for a, folder in below(root, "source") for b, p in below(folder, "split")}
+
+
+def existing_keys(spark: SparkSession, path: str) -> DataFrame:
+    """Finished ``(source, split)`` pairs: those recorded, or all folders where no merge has kept a record."""
+    if path_exists(spark, f"{path}/{FINISHED}"):
+        return spark.read.schema(KEY_SCHEMA).json(f"{path}/{FINISHED}").distinct()
+    return spark.createDataFrame(list(split_folders(spark, path)), KEY_SCHEMA)
+
+
+def _record(spark: SparkSession, path: str, keys: list[tuple]) -> None:
+    spark.createDataFrame(keys, KEY_SCHEMA).coalesce(1).write.mode("append").option("ignoreNullFields", "false").json(f"{path}/{FINISHED}")
 
 
 def merge_corpus(spark: SparkSession, parts: Sequence[DataFrame], path: str, compact: bool = False) -> DataFrame:
     """Append the splits that ``path`` does not hold yet and return its manifest.
 
-    Files stay within 2 GB by a row limit derived from the widest row.  Without
-    ``compact`` nothing is shuffled; with it, small files are gathered and AQE
-    splits large splits over several tasks.
+    A split counts as held once it is recorded, which comes last; folders that a
+    merge left before that are removed and their splits written again.  One merge
+    per corpus at a time.  Files stay within 2 GB by a row limit derived from the
+    widest row.  Without ``compact`` nothing is shuffled; with it, small files are
+    gathered and AQE splits large splits over several tasks.
     """
-    rows = union_sources(parts)
-    saved = existing_keys(spark, path)
-    if saved is not None:
-        rows = without_existing(rows, saved, KEYS)
+    path = path.rstrip("/")
+    if not path_exists(spark, f"{path}/{FINISHED}"):
+        _record(spark, path, list(split_folders(spark, path)))
+    finished = existing_keys(spark, path)
+    known = {tuple(r) for r in finished.collect()}  # one row per split
+    fs, _ = hadoop_path(spark, path)
+    for key, folder in split_folders(spark, path).items():
+        if key not in known:
+            fs.delete(folder, True)
+    rows = without_existing(union_sources(parts), finished, KEYS)
     limit = rows_within(rows)
     write_shards(balanced(rows, KEYS) if compact else rows, path, limit, KEYS, mode="append")
+    _record(spark, path, [k for k in split_folders(spark, path) if k not in known])
     saved = existing_keys(spark, path)
     return manifest(saved, split_key(saved))

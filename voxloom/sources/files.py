@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-MAGIC = "50415231"  # fixed value: last bytes of a Parquet file, in hex
-MAX_OPENED = 10_000
+MAGIC = b"PAR1"  # fixed value: last bytes of a Parquet file
 
 
 def list_files(spark: SparkSession, path: str | list[str], glob: str = "*.parquet", recursive: bool = False) -> DataFrame:
@@ -26,30 +29,40 @@ def read_tolerant(spark: SparkSession, path: str | list[str], schema: T.StructTy
     )
 
 
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whether each named file ends with the mark; only those bytes are read."""
+    for batch in batches:
+        complete = []
+        for name in batch["file"].to_pylist():
+            store, path = fs.FileSystem.from_uri(name)
+            with store.open_input_file(path) as f:
+                f.seek(max(0, f.size() - len(MAGIC)))
+                complete.append(f.read(len(MAGIC)) == MAGIC)
+        yield pa.RecordBatch.from_arrays([batch["file"], pa.array(complete, pa.bool_())], ["file", "complete"])
+
+
 def corrupt_files(spark: SparkSession, path: str | list[str], schema: T.StructType | str, glob: str = "*") -> DataFrame:
     """``(file, length, state, n_rows)`` for every file; nothing is deleted.
 
-    Files that give rows are settled by a scan that reads no data column.  Only
-    the others are opened, to tell empty ones from broken ones by their end mark.
+    ``n_rows`` are the rows that can be read, found by decoding every column, as a
+    whole footer may stand over broken pages: a file that gives fewer rows than
+    its footer names is ``partial``, or ``corrupt`` if it gives none.  Of files
+    without rows the last bytes tell empty ones from broken ones.
     """
-    counted = (
-        read_tolerant(spark, path, schema).groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+    rows = read_tolerant(spark, path, schema)
+    file = F.col("_metadata.file_path").alias("file")
+    held = rows.groupBy(file).agg(F.count(F.lit(1)).alias("n_held"))
+    # The hash makes the scan decode all columns; its maximum is null for no file that gives rows.
+    decoded = F.max(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns])).isNotNull()
+    read = rows.groupBy(file).agg(F.when(decoded, F.count(F.lit(1))).alias("n_rows"))
     listed = list_files(spark, path, glob)
-    silent = listed.join(counted, "file", "left_anti").select("file")
-    names = [r[0] for r in silent.limit(MAX_OPENED + 1).collect()]
-    # Open the silent files only; if they are very many, read the folder and keep those.
-    opened = spark.read.format("binaryFile").load(names if 0 < len(names) <= MAX_OPENED else path)
-    ends = (
-        opened.select(F.col("_metadata.file_path").alias("file"), F.expr("right(hex(content), 8)").alias("_end"))
-        .join(silent, "file", "left_semi")
-        .select("file", (F.col("_end") == MAGIC).alias("complete"))
-    )
+    ends = listed.join(held, "file", "left_anti").select("file").mapInArrow(_whole, "file string, complete boolean")
+    n_rows, n_held = F.coalesce("n_rows", F.lit(0)), F.coalesce("n_held", F.lit(0))
     state = (
-        F.when(F.col("n_rows") > 0, "readable").when(F.coalesce("complete", F.lit(False)), "empty").otherwise("corrupt")
+        F.when((n_held > 0) & (n_rows >= n_held), "readable").when(n_rows > 0, "partial")
+        .when(F.coalesce("complete", F.lit(False)), "empty").otherwise("corrupt")
     )
     return (
-        listed.join(counted, "file", "left").join(ends, "file", "left")
-        .select("file", "length", state.alias("state"), F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+        listed.join(held, "file", "left").join(read, "file", "left").join(ends, "file", "left")
+        .select("file", "length", state.alias("state"), n_rows.alias("n_rows"))
     )

@@ -68,6 +68,18 @@ def merge_skip_existing(spark, d):
     return without_existing(rows, saved, merge.KEYS).groupBy("source", "split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("merge_resume", f"WITH {_SQL_SOURCES} SELECT source, split, count(*)::BIGINT AS n_rows, sum(length(text))::BIGINT AS n_chars FROM src GROUP BY source, split")
+def merge_resume(spark, d):
+    """A second merge over a finished source and the half-written splits of a merge that broke off."""
+    out = scratch_path(spark, "resumed")
+    docs, talk, pages = (p.withColumn("n_samples", F.lit(0)) for p in _text_sources(spark, d))
+    merge.merge_corpus(spark, [docs], out)
+    files.write_shards(talk.filter(F.length("text") % 2 == 0).drop("sampling_rate"), out, 1000, merge.KEYS, mode="append")
+    merge.merge_corpus(spark, [docs, talk, pages], out)
+    return spark.read.parquet(out).groupBy("source", "split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.char_length("text")).alias("n_chars"))
+
+
 @query("manifest", f"""
 WITH {_SQL_SOURCES}
 SELECT '{{"splits":[' || string_agg('"' || k || '"', ',' ORDER BY k) || ']}}' AS manifest FROM (SELECT DISTINCT source || '_' || split AS k FROM src)""")
@@ -97,7 +109,7 @@ def embed_audio(spark, d):
     """Audio bytes inline in a saved table, read back."""
     out = scratch_path(spark, "embedded")
     content = table(spark, d, "embeddings").select("vec_id", wav_bytes(F.col("embedding"), RATE).alias("content"))
-    files.write_shards(files.embed_bytes(content), out, 100_000)
+    files.write_shards(files.embed_bytes(content), out, 64)
     body = F.expr("substring(audio.bytes, 45)")
     return spark.read.parquet(out).select(
         "vec_id", long(F.octet_length("audio.bytes"), "n_bytes"), F.col("audio.path").isNull().alias("no_path"),

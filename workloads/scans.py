@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxloom.functions import signal as sig
-from voxloom.operators.joins import apply_registry
+from voxloom.operators.joins import apply_registry, resolve_paths
 from voxloom.session import scratch_path
 from voxloom.sources import files, metadata, profile, scan
 from voxloom.specs import AUDIO_FIELDS, CONFIG_SHORT, REGISTRY, spec_for
@@ -93,6 +93,21 @@ def binary_files(spark, d):
         F.sum(F.octet_length("content")).cast("long").alias("n_bytes"), F.sum("length").alias("length"))
 
 
+@query("resolve_audio_paths", """
+SELECT doc_id, CASE WHEN vec_id IS NULL THEN NULL WHEN doc_id % 3 = 0 THEN 'a' || doc_id WHEN doc_id % 3 = 2 THEN 'u' || doc_id END AS content
+FROM documents LEFT JOIN (SELECT DISTINCT vec_id FROM embeddings) ON vec_id = doc_id""")
+def resolve_audio_paths(spark, d):
+    """Rows that name a file by path or by base name; a base name that lies in two folders is no match."""
+    ids = table(spark, d, "embeddings").select("vec_id").distinct()
+    kinds = F.array(*[F.struct(F.lit(a).alias("folder"), F.lit(b).alias("mark")) for a, b in (("a/", "a"), ("b/", "b"), ("c/u", "u"))])
+    present = ids.select("vec_id", F.explode(kinds).alias("k")).select(
+        F.concat(F.lit("/audio/"), "k.folder", "vec_id", F.lit(".wav")).alias("path"), F.concat("k.mark", "vec_id").cast("binary").alias("content"))
+    lead = F.when(F.col("doc_id") % 3 == 0, "a/").when(F.col("doc_id") % 3 == 2, "u").otherwise("")
+    rows = table(spark, d, "documents").select("doc_id", F.struct(
+        F.lit(None).cast("binary").alias("bytes"), F.concat(lead, "doc_id", F.lit(".wav")).alias("path")).alias("audio"))
+    return resolve_paths(rows, present).select("doc_id", F.col("audio.bytes").cast("string").alias("content"))
+
+
 @query("parse_glued_records", """
 SELECT conv_id, count(*)::BIGINT AS n_records, sum(length(text))::BIGINT AS n_chars,
        min(printf('conv%06d_%d', conv_id, turn)) AS first_id

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from voxloom.plans import build as batch
-from voxloom.session import scratch_path, spread
+from voxloom.session import hadoop_path, scratch_path, spread
 from voxloom.sources.files import list_files
 from voxloom.specs import SourceSpec
 from voxloom.streaming import totals
@@ -31,13 +31,17 @@ def thirds(spark, path: str) -> int:
     return max(1, -(-list_files(spark, path, recursive=True).count() // 3))
 
 
-def raw_feed(spark, d) -> str:
-    """Raw files of a source with text, samples and rate, made from the tables; as many as the data gives."""
-    root = scratch_path(spark, "raw")
+def raw_feed(spark, d, root: str | None = None, arriving=None) -> str:
+    """Raw files of a source with text, samples and rate, made from the tables; as many as the data gives.
+
+    ``arriving`` names the documents whose files are added to ``root`` now.
+    """
+    root = root or scratch_path(spark, "raw")
     docs = spread(table(spark, d, "documents").select("doc_id", "text", "lang"))
+    docs = docs if arriving is None else docs.filter(arriving)
     audio = table(spark, d, "embeddings").select(
         F.col("vec_id").alias("doc_id"), F.col("embedding").alias("audio"), "label", F.lit("16.0").alias("samplerate"))
-    docs.join(audio, "doc_id", "left").write.partitionBy("lang").parquet(f"{root}/{FEED.path}")
+    docs.join(audio, "doc_id", "left").write.mode("append").partitionBy("lang").parquet(f"{root}/{FEED.path}")
     return root
 
 
@@ -60,16 +64,23 @@ def _by_speaker(kept):
         F.sum(F.size("audio.array")).alias("n_samples"))
 
 
-@query("incremental_build", f"""
+_SQL_BUILT = f"""
 WITH {_SQL_FEED}
 SELECT count(*)::BIGINT AS rows_in, count_if(reason IS NULL)::BIGINT AS kept, count_if(reason IS NOT NULL)::BIGINT AS dropped,
-       (count_if(reason IS NULL) * 40000)::BIGINT AS ticks, count(*)::BIGINT AS next_index, true AS ids_unique FROM feed""")
+       (count_if(reason IS NULL) * 40000)::BIGINT AS ticks, count(*)::BIGINT AS next_index, true AS ids_unique FROM feed"""
+
+
+@query("incremental_build", _SQL_BUILT)
 def incremental_build(spark, d):
     """The same source file by file with a checkpoint; a second run finds nothing left to do."""
     raw = raw_feed(spark, d)
     job = IncrementalBuild(spark, FEED, raw, scratch_path(spark, "incremental"), files_per_batch=thirds(spark, raw))
     job.run()
     job.run()
+    return _built(job)
+
+
+def _built(job):
     ids = job.rows().select("utt_id").groupBy("utt_id").agg(F.count(F.lit(1)).alias("n")).agg(
         (F.max("n") == 1).alias("ids_unique"),
         (F.max(F.substring("utt_id", -8, 8).cast("long")) + 1).alias("next_index"))
@@ -77,6 +88,29 @@ def incremental_build(spark, d):
     return sums.crossJoin(ids).select("rows_in", "kept", "dropped", "ticks", "next_index", "ids_unique")
 
 
+@query("incremental_recover", _SQL_BUILT)
+def incremental_recover(spark, d):
+    """The checkpoint is lost half-way, then the other files arrive: no row is lost, built twice or given a used id."""
+    late = F.coalesce(F.col("doc_id") % 2 == 1, F.lit(True))
+    raw, out = raw_feed(spark, d, arriving=~late), scratch_path(spark, "recovered")
+    IncrementalBuild(spark, FEED, raw, out, files_per_batch=thirds(spark, raw)).run()
+    fs, checkpoint = hadoop_path(spark, f"{out}/checkpoint")
+    fs.delete(checkpoint, True)
+    raw_feed(spark, d, raw, late)
+    job = IncrementalBuild(spark, FEED, raw, out, files_per_batch=thirds(spark, raw))
+    job.run()
+    return _built(job)
+
+
+@query("incremental_drop_log", f"WITH {_SQL_FEED} SELECT source, reason, count(*)::BIGINT AS n_rows FROM (SELECT 'feed' AS source, reason FROM feed) WHERE reason IS NOT NULL GROUP BY ALL")
+def incremental_drop_log(spark, d):
+    """What the batches of an incremental build logged as dropped, read back."""
+    raw, out = raw_feed(spark, d), scratch_path(spark, "incremental")
+    IncrementalBuild(spark, FEED, raw, out, files_per_batch=thirds(spark, raw)).run()
+    log = spark.read.schema("source string, split string, utt_id string, reason string").json(f"{out}/drop_log")
+    return log.groupBy("source", "reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("stream_read", "SELECT lang, count(*)::BIGINT AS n_rows FROM documents GROUP BY lang")
 def stream_read(spark, d):
     """A table read as a file stream, written through and counted."""
