@@ -252,6 +252,24 @@ def test_corrupt_files(spark, tmp_path):
     assert files.read_tolerant(spark, str(root), "doc long").count() == 3
 
 
+def test_a_whole_footer_over_broken_pages(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    root = tmp_path / "my files [1] 100%"
+    root.mkdir()
+    for name, broken in (("half", (1, 2)), ("none", (0, 1, 2)), ("whole", ())):
+        path = root / f"{name}.parquet"
+        pq.write_table(pa.table({"doc": [f"text {i}" for i in range(3000)]}), path, row_group_size=1000, use_dictionary=False)
+        raw = bytearray(path.read_bytes())
+        for k in broken:
+            at = pq.ParquetFile(path).metadata.row_group(k).column(0).data_page_offset
+            raw[at:at + 200] = b"\xff" * 200
+        path.write_bytes(raw)
+    (root / "zero.parquet").write_bytes(b"")
+    got = {Path(r.file).name: (r.state, r.n_rows) for r in files.corrupt_files(spark, scan.literal_path(str(root)), "doc string").collect()}
+    assert got == {"half.parquet": ("partial", 1000), "none.parquet": ("corrupt", 0), "whole.parquet": ("readable", 3000)}
+
+
 def test_merge_skips_saved_splits(spark, tmp_path):
     def part(source, split, n, **extra):
         rows = spark.range(n).select(F.lit(source).alias("source"), F.lit(split).alias("split"), F.lit("t").alias("text"), F.lit(4).alias("n_samples"))
@@ -265,6 +283,14 @@ def test_merge_skips_saved_splits(spark, tmp_path):
     got = {(r.source, r.split): r["count"] for r in spark.read.parquet(path).groupBy("source", "split").count().collect()}
     assert got == {("a", "train"): 3, ("a", "test"): 2, ("b", "train"): 5}
     assert "sampling_rate" not in spark.read.parquet(path).columns
+    # A split whose merge broke off has a folder but no record: it is written again, whole.
+    part("a", "001", 2).write.mode("append").partitionBy("source", "split").parquet(path)
+    third = merge.merge_corpus(spark, [part("a", n, 7) for n in ("001", "01", "1", "x y%")], path).head()[0]
+    assert json.loads(third) == {"splits": ["a_001", "a_01", "a_1", "a_test", "a_train", "a_x y%", "b_train"]}
+    got = {(r.source, r.split): r["count"] for r in scan.read_corpus(spark, path).groupBy("source", "split").count().collect()}
+    assert got == {("a", "train"): 3, ("a", "test"): 2, ("b", "train"): 5} | {("a", n): 7 for n in ("001", "01", "1", "x y%")}
+    again = merge.merge_corpus(spark, [part("a", "001", 9)], path).head()[0]
+    assert again == third and spark.read.parquet(path).count() == 38
 
 
 def test_shards_stay_within_their_limits(spark, tmp_path):

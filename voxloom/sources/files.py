@@ -47,7 +47,8 @@ def corrupt_files(spark: SparkSession, path: str | list[str], schema: T.StructTy
     ``n_rows`` are the rows that can be read, found by decoding every column, as a
     whole footer may stand over broken pages: a file that gives fewer rows than
     its footer names is ``partial``, or ``corrupt`` if it gives none.  Of files
-    without rows the last bytes tell empty ones from broken ones.
+    without rows the last bytes tell empty ones from broken ones.  Files of no
+    bytes are passed over, as Spark lists none.
     """
     rows = read_tolerant(spark, path, schema)
     file = F.col("_metadata.file_path").alias("file")
