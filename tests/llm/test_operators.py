@@ -341,6 +341,24 @@ def test_nearest_vectors(spark):
     assert ann.search(few.limit(0), few.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spread", [None, 0.5])
+def test_nearest_vectors_in_many_lists(spark, monkeypatch, spread):
+    """Several hundred lists: the neighbours are those of brute force, without and with clusters."""
+    monkeypatch.setattr(ann, "TARGET_ROWS", 8)
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (4000, 32))
+    if spread:
+        x = rng.normal(0, 1, (40, 32))[rng.integers(0, 40, 4000)] + spread * x
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in ann.search(df, df.filter("vec_id % 50 = 0")).collect():
+        got[r.query_id].add(r.vec_id)
+    for q in range(0, 4000, 50):
+        d = ((x.astype(float) - x[q].astype(float)) ** 2).sum(axis=1)
+        assert got[q] == set(np.argsort(d, kind="stable")[1:11].tolist())
+
+
 def test_pipeline_stages(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")

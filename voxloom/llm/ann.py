@@ -5,9 +5,11 @@
    most :data:`MAX_CENTROIDS`).
 2. Every distinct vector goes to its nearest list, found by a beam search over the graph, and, near a
    boundary, to other lists almost as near, unless a list already chosen lies nearer to that centroid.
-3. A query searches the graph and reads the lists whose centroid is at most ``1 + PROBE_RATIO`` times as
-   far as the nearest one.  Lists longer than :data:`LIST_ROWS` are searched in parts.  Each part
-   returns its best few with exact distances; they are merged per query.
+3. The k-th distance of a query within the sample bounds its k-th distance in the table.  It reads every
+   list that may hold a vector within that bound, by the distance of the centroid less the radius of the
+   list (triangle inequality), so no neighbour is lost, whatever the number of lists.  Lists longer than
+   :data:`LIST_ROWS` are searched in parts.  Each part returns its best few with exact distances; they
+   are merged per query.
 
 Equal vectors are searched once; as ties go to smaller ids, the first ids of each are enough.
 
@@ -30,7 +32,8 @@ SAMPLE_ROWS, MAX_CENTROIDS = 20_000, 8192
 TARGET_ROWS, LIST_ROWS = 256, 4096
 GRAPH_DEGREE, ENTRIES = 24, 16
 COPIES, COPY_RATIO = 4, 0.15
-PROBES, PROBE_RATIO = 64, 0.6
+#: Relative slack of the bounds, far above rounding.
+SLACK = 1e-6
 
 
 def _matrix(column) -> np.ndarray:
@@ -137,6 +140,25 @@ class Graph:
         return out
 
 
+def _gaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances of all rows of ``x`` to all rows of ``y``."""
+    return np.sqrt(np.maximum((x ** 2).sum(axis=1)[:, None] + (y ** 2).sum(axis=1) - 2 * x @ y.T, 0))
+
+
+def needed(x: np.ndarray, centroids: np.ndarray, radius: np.ndarray, sample: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, list)`` of the lists that may hold one of the ``n`` nearest of each row; an empty list has radius -inf."""
+    c, rows, lists = centroids.astype(float), [], []
+    top = np.sqrt(max((sample ** 2).sum(axis=1).max(), (c ** 2).sum(axis=1).max()))
+    for i in range(0, len(x), 256):
+        y = x[i:i + 256].astype(float)
+        bound = np.partition(_gaps(y, sample), n - 1, axis=1)[:, n - 1] if len(sample) >= n else np.full(len(y), np.inf)
+        slack = SLACK * (np.sqrt((y ** 2).sum(axis=1)) + top)
+        r, k = np.nonzero(~(_gaps(y, c) - radius > (bound + slack)[:, None]) & (radius >= 0))
+        rows.append(r + i)
+        lists.append(k)
+    return (np.concatenate(rows), np.concatenate(lists)) if rows else (np.zeros(0, int), np.zeros(0, int))
+
+
 def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``vec_id, v`` of the rows that take part."""
     v = col(vectors, vector_col).cast("array<double>")
@@ -169,17 +191,23 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "v
         for b in batches:
             homes = graph.homes(_matrix(b["v"])) if b.num_rows else np.zeros((0, COPIES), int)
             r, c = np.nonzero(homes >= 0)
-            yield pa.RecordBatch.from_arrays([pa.array(homes[r, c].astype(np.int32)), b["ids"].take(pa.array(r)), b["v"].take(pa.array(r))], ["list", "ids", "v"])
+            v = _matrix(b["v"])
+            # Copies do not widen a list: each vector is found in its first one.
+            far = np.where(c == 0, np.sqrt(((v[r] - graph.c[homes[r, c]]) ** 2).sum(axis=1)), 0.0) if len(r) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([pa.array(homes[r, c].astype(np.int32)), pa.array(far), b["ids"].take(pa.array(r)), b["v"].take(pa.array(r))],
+                                             ["list", "far", "ids", "v"])
 
     def probed(batches):
         for b in batches:
-            ids, dist = graph.search(_matrix(b["v"]), PROBES)
-            r, c = np.nonzero((ids >= 0) & (dist <= (1 + PROBE_RATIO) * np.maximum(dist[:, :1], 1e-30)))
-            yield pa.RecordBatch.from_arrays([pa.array(ids[r, c].astype(np.int32)), b["target"].take(pa.array(r)), b["v"].take(pa.array(r))], ["list", "target", "v"])
+            r, c = needed(_matrix(b["v"]), graph.c, radius, x, n_keep)
+            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), b["target"].take(pa.array(r)), b["v"].take(pa.array(r))], ["list", "target", "v"])
 
-    postings = saved(points.select("ids", "v").mapInArrow(assigned, "list int, ids array<long>, v array<double>"), "postings")
+    postings = saved(points.select("ids", "v").mapInArrow(assigned, "list int, far double, ids array<long>, v array<double>"), "postings")
     # At most MAX_CENTROIDS rows.
-    parts = postings.groupBy("list").agg(F.ceil(F.count("*") / LIST_ROWS).cast("int").alias("parts"))
+    sums = postings.groupBy("list").agg(F.ceil(F.count("*") / LIST_ROWS).cast("int").alias("parts"), F.max("far").alias("far")).collect()
+    radius = np.full(len(graph.c), -np.inf)
+    radius[[r.list for r in sums]] = [r.far for r in sums]
+    parts = vectors.sparkSession.createDataFrame([(r.list, r.parts) for r in sums], "list int, parts int")
     split = postings.join(F.broadcast(parts), "list").withColumn("part", F.pmod(F.xxhash64("ids"), F.col("parts")).cast("int"))
     distinct_targets = targets.filter("vec_id = target").select("target", "v")
     probes = distinct_targets.mapInArrow(probed, "list int, target long, v array<double>").join(F.broadcast(parts), "list").withColumn(
