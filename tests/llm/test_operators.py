@@ -174,6 +174,17 @@ def test_near_duplicates_odd_rows(docs):
     assert repeats[5] == 1 and repeats[11] == 2 and repeats[None] == 1
 
 
+def test_near_duplicates_of_ids_with_two_texts(spark):
+    a, b, c = (near_group(1, seed, 1)[0] for seed in (11, 12, 13))
+    a2, b2 = (t.replace(t.split()[40], "changed", 1) for t in (a, b))
+    # 1 has two texts, each with a near copy; 5 has a copy of one and a text of its own.
+    rows = [(1, a), (1, b), (2, b2), (3, a2), (4, "other words"), (5, a2), (5, c), (5, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 1}
+    assert sorted(map(tuple, neardup.keep_one(docs).collect())) == sorted([(1, a), (1, b), (4, "other words"), (5, c)])
+
+
 def test_components(spark):
     rng = np.random.default_rng(4)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(1000 + i, 1001 + i) for i in range(60)]

@@ -2,6 +2,7 @@
 
 1. Each text becomes its set of word shingles (64-bit hashes), a MinHash signature and band hashes.
 2. Texts with equal sets are one class; only its first document goes on, so copies are not expanded.
+   A class is named by its first document or, where ids repeat, by a number of its own.
 3. Round one compares each class of a band bucket with the first class of the bucket.
 4. Round two opens only the buckets whose classes are not yet one component, and compares members of
    different components inside one task, in blocks of bounded size: pairs are never emitted, only links.
@@ -11,7 +12,8 @@
 Nulls, ties, empties: a null or wordless text has an empty set and is linked with nothing; rows with a
 null id take no part, have a null component and are kept; rows that repeat an id are one document (their
 texts' links are joined) and each row is returned.  A text of any length is one row.  An empty table
-gives an empty result.  Extra columns are ignored by :func:`near_duplicates`; :func:`keep_one` returns them.
+gives an empty result.  Extra columns are ignored by :func:`near_duplicates`; :func:`keep_one` returns them
+and judges each text of such an id by its own links.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import Kept, col, fresh, ids_and_texts, saved, text_spread
+from voxloom.llm.common import Kept, col, fresh, ids_and_texts, per_text, saved, text_spread
 from voxloom.llm.components import components
 from voxloom.session import small_side
 
@@ -215,20 +217,27 @@ def _links_in_bucket(percent: int):
     return grouped
 
 
-def classes(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id`` per input row with an id."""
+def _labelled(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """``doc_id, n_shingles, set_hash, component`` of each id and set, and whether no id repeats.
+
+    Components are of texts, not yet joined through ids.  They are named by their smallest document if no
+    id repeats, else by a number (null where the set is empty).
+    """
     base = ids_and_texts(docs, id_col, text_col).filter("doc_id IS NOT NULL")
     rows = saved(sketches(text_spread(base), k), "sketches")
-    # Equal sets: one class, named by its smallest document.
-    same = rows.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
-    member = saved(rows.select("doc_id", "n_shingles", "set_hash").distinct().join(same, "set_hash", "left")
-                   .select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "members")
     unique = not _repeats(rows)
-    reps = rows.filter("n_shingles > 0")
-    if not unique:  # one text for each id; the others of its texts are reached through their own classes
-        reps = saved(reps.join(same, (rows.set_hash == same.set_hash) & (rows.doc_id == same.rep), "left_semi").dropDuplicates(["doc_id"]), "representatives")
-    banded = reps.select("doc_id", "n_shingles", "bands").join(same, F.col("doc_id") == F.col("rep"), "left_semi")
-    buckets = banded.select(F.col("doc_id").alias("id"), "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+    # Equal sets: one class, represented by its smallest document.
+    same = rows.filter("n_shingles > 0").groupBy("set_hash").agg(F.min("doc_id").alias("first_doc"))
+    if unique:
+        same = same.withColumn("rep", F.col("first_doc"))
+    else:  # an id may be the smallest of several classes; written once, so that the numbers stay
+        same = saved(same.withColumn("rep", F.monotonically_increasing_id()), "names")
+    member = rows.select("doc_id", "n_shingles", "set_hash").distinct().join(same.drop("first_doc"), "set_hash", "left")
+    member = saved(member.withColumn("rep", F.coalesce("rep", "doc_id")) if unique else member, "members")
+    banded = rows.filter("n_shingles > 0").join(same.withColumnRenamed("first_doc", "doc_id"), ["doc_id", "set_hash"])
+    if not unique:
+        banded = saved(banded.dropDuplicates(["rep"]), "representatives")
+    buckets = banded.select(F.col("rep").alias("id"), "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     first = buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
     shared = saved(buckets.join(first.filter("n > 1"), "bucket"), "buckets")
 
@@ -236,11 +245,15 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_i
     pairs = shared.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     # Few classes share a bucket: only their sets are made, from the texts once more, so the sets of all texts are
     # never written.  No shuffle, where the ids are few enough to send.
-    wanted = small_side(shared.select(F.col("id").alias("doc_id")).distinct(), MAX_SENT)
-    data = sketches(base.join(wanted, "doc_id", "left_semi"), k, with_sets=True)
-    if not unique:
-        data = data.join(reps.select("doc_id", "set_hash"), ["doc_id", "set_hash"], "left_semi").dropDuplicates(["doc_id"])
-    data = saved(data.select(F.col("doc_id").alias("id"), "sig", "bands", "shingles"), "sets")
+    sharing = shared.select("id").distinct()
+    if unique:
+        data = sketches(base.join(small_side(sharing.withColumnRenamed("id", "doc_id"), MAX_SENT), "doc_id", "left_semi"), k, with_sets=True)
+        data = data.withColumnRenamed("doc_id", "id")
+    else:
+        named = banded.select("doc_id", "set_hash", F.col("rep").alias("id")).join(sharing, "id", "left_semi")
+        data = sketches(base.join(small_side(named.select("doc_id").distinct(), MAX_SENT), "doc_id", "left_semi"), k, with_sets=True)
+        data = data.join(named, ["doc_id", "set_hash"]).dropDuplicates(["id"])
+    data = saved(data.select("id", "sig", "bands", "shingles"), "sets")
     left = data.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), F.col("shingles").alias("set_a"))
     right = data.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), F.col("shingles").alias("set_b"))
     one = saved(_confirm_pairs(pairs.join(right, "b").join(left, "a"), percent), "links")
@@ -260,8 +273,14 @@ def classes(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_i
     two = full.groupBy("bucket", "b1", "b2").applyInArrow(_links_in_bucket(percent), "a long, b long")
     final = components(one.union(two))
 
-    labels = member.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component"))
+    return member.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "doc_id", "n_shingles", "set_hash", F.coalesce("component", "rep").alias("component")), unique
+
+
+def classes(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_shingles, component_id`` per id and text with an id."""
+    labels, unique = _labelled(docs, k, percent, id_col, text_col)
+    labels = labels.drop("set_hash")
     return _joined_ids(labels) if not unique else labels.withColumnRenamed("component", "component_id")
 
 
@@ -273,9 +292,10 @@ def _repeats(rows: DataFrame) -> bool:
 def _joined_ids(labels: DataFrame) -> DataFrame:
     """Rows that repeat an id with other texts: their components are joined through the id."""
     labels = saved(labels, "labels")
-    joined = components(labels.select(F.col("doc_id").alias("a"), F.col("component").alias("b")))
+    least = labels.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("b"))
+    joined = components(labels.join(least, "component").select(F.col("doc_id").alias("a"), "b"))
     return labels.join(joined.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "c"), "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("c", "component").alias("component_id"))
+        "doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -299,11 +319,30 @@ def _per_row(base: DataFrame, out: DataFrame, k: int) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are the first of their group, with all columns; rows without id stay.
 
-    Only the ids that go are joined against the texts.  Where ids repeat, one row of each id and text stays.
+    Only the ids that go are joined against the texts.  Where ids repeat, each text of an id is judged by its
+    own links: of each group of texts the one with the smallest id stays (ties: the smallest hash of its
+    set), and of rows that repeat an id and a set, one.  Wordless texts stay, one row of each id and text.
     """
     gone, key = fresh(docs, "_gone"), col(docs, id_col).cast("long")
-    leaving = classes(docs, k, percent, id_col, text_col).filter("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
-    if _repeats(docs.select(key.alias("doc_id")).filter("doc_id IS NOT NULL")):
-        named = docs.filter(key.isNotNull()).dropDuplicates([id_col, text_col])
-        docs = named.unionByName(docs.filter(key.isNull()))
-    return docs.join(leaving, col(docs, id_col).cast("long") == F.col(gone), "left_anti")
+    labels, unique = _labelled(docs, k, percent, id_col, text_col)
+    if unique:
+        leaving = labels.filter("doc_id <> component").select(F.col("doc_id").alias(gone)).distinct()
+        return docs.join(leaving, key == F.col(gone), "left_anti")
+    labels = saved(labels.filter("component IS NOT NULL"), "labels")
+    stays = labels.groupBy("component").agg(F.min(F.struct("doc_id", "set_hash")).alias("stays"))
+    gone_set, own, blank = (fresh(docs, c) for c in ("_gone_set", "_set", "_blank"))
+    leaving = labels.join(stays, "component").filter(F.struct("doc_id", "set_hash") != F.col("stays")).select(
+        F.col("doc_id").alias(gone), F.col("set_hash").alias(gone_set))
+
+    def row():
+        words = _Words()
+
+        def one(text: str):
+            s = shingle_set(text, k, words)
+            return (hashlib.blake2b(s, digest_size=16).digest() if len(s) else None,)
+        return one
+
+    named = docs.filter(key.isNotNull()).withColumn(own, per_text(row, "set_hash binary")(col(docs, text_col))["set_hash"])
+    named = named.withColumn(blank, F.when(F.col(own).isNull(), col(docs, text_col)))
+    named = named.join(leaving, (key == F.col(gone)) & (F.col(own) == F.col(gone_set)), "left_anti")
+    return named.dropDuplicates([id_col, own, blank]).drop(own, blank).unionByName(docs.filter(key.isNull()))
