@@ -233,6 +233,17 @@ def test_secret_base_and_network():
     assert [k for k, *_ in found] == ["net"] and secrets.spans("", NET) == []
 
 
+def test_secret_threshold_follows_the_recall_of_the_scan():
+    net = secrets.Net()
+    net.limit(np.array([0.2] + [0.3] * 99))
+    assert net.threshold == 0.2 and net.recall == 1.0
+    net.limit(np.array([-1.0] * 10 + [0.4] * 90))
+    assert net.threshold == 0.4 and net.recall == 0.9
+    token = "xKqfQmZpLwRtBvNcYhJsDg"  # no digit
+    assert secrets.candidates(f"key {token} end", []) == [(4, 4 + len(token))]
+    assert NET.recall >= secrets.RECALL and [k for k, *_ in secrets.spans(f"the key is {token} and plain words follow", NET)] == ["net"]
+
+
 def test_secrets_masked(docs):
     out = {r.doc_id: r for r in secrets.masked(clashing(docs), NET).filter("text IS NOT NULL").collect()}
     assert out[11].text == 'a <secret>" b <secret> c' and out[11].n_chars == len(out[11].text)
