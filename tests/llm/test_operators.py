@@ -244,6 +244,17 @@ def test_secret_threshold_follows_the_recall_of_the_scan():
     assert NET.recall >= secrets.RECALL and [k for k, *_ in secrets.spans(f"the key is {token} and plain words follow", NET)] == ["net"]
 
 
+def test_secret_inside_a_long_run():
+    key = "xK9fQ2mZ7pLw4RtB8vNc3YhJ6sDg1eUa5TbXo0Wi"
+    lead, tail = "/organisation/project/settings/download/", "/download/archive/file-name-1"
+    text = f"see {lead}{key}{tail} for more"
+    shown = {j for a, b in secrets.views(0, 131) if b - a <= secrets.INSIDE for j in range(a, b)}
+    assert shown == set(range(131))
+    assert secrets.spans(text, NET) == [("net", 4, 4 + len(lead + key + tail))]
+    plain = "see /organisation/project/settings/download/archive/pages/download/archive/file-name-1 for more"
+    assert secrets.spans(plain, NET) == []
+
+
 def test_secrets_masked(docs):
     out = {r.doc_id: r for r in secrets.masked(clashing(docs), NET).filter("text IS NOT NULL").collect()}
     assert out[11].text == 'a <secret>" b <secret> c' and out[11].n_chars == len(out[11].text)
