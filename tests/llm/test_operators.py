@@ -255,6 +255,16 @@ def test_secret_inside_a_long_run():
     assert secrets.spans(plain, NET) == []
 
 
+def test_unreviewed_candidates_are_no_harmless_examples(spark, monkeypatch):
+    tokens = [f"ghp_{hashlib.sha256(str(k).encode()).hexdigest()[:20].upper()}xQ" for k in range(40)]
+    seen = []
+    monkeypatch.setattr(secrets.Net, "train", lambda net, x, y: seen.append((x, y)))
+    texts = [f"call {t} and /usr/share/doc/page{k} now" for k, t in enumerate(tokens)]
+    secrets.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    harmless = {r.tobytes() for r in seen[0][0][seen[0][1] == 0]}
+    assert not any(secrets.window(t, 5, 5 + len(k)).tobytes() in harmless for t, k in zip(texts, tokens))
+
+
 def test_secrets_masked(docs):
     out = {r.doc_id: r for r in secrets.masked(clashing(docs), NET).filter("text IS NOT NULL").collect()}
     assert out[11].text == 'a <secret>" b <secret> c' and out[11].n_chars == len(out[11].text)
