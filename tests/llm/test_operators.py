@@ -346,6 +346,24 @@ def test_packing_takes_lexical_neighbours_first():
     assert sorted(full.values())[1:] == [400] * (len(full) - 1)
 
 
+def test_packing_statistics_cover_all_documents(docs):
+    tokens = packing.tokenized(docs)
+    texts = packing._ids(tokens.select("ids", "wide").toArrow())
+    n, mean, df = packing.statistics(tokens)
+    want = Counter(int(t) for x in texts for t in set(x.tolist()))
+    assert n == len(hard_rows()) and abs(mean - np.mean([len(x) for x in texts])) < 1e-9
+    assert {t: int(df[t]) for t in np.flatnonzero(df)} == want
+    # The impacts of a part of the documents are those they have among all.
+    index, part = packing.Index(texts, (n, mean, df)), packing.Index(texts[:5], (n, mean, df))
+    assert np.allclose(part.impact, index.impact[:len(part.impact)])
+
+
+def test_packing_searches_all_terms_of_the_seed():
+    # Forty terms of the seed's own come before the common one that it shares with three documents.
+    docs = [np.array([*range(100, 140), 7]), *(np.array([7, 200 + k]) for k in range(3)), np.array([300, 301])]
+    assert packing.Index(docs).neighbours(0, np.array([True] + [False] * 4)).tolist() == [1, 2, 3]
+
+
 def test_shards(spark):
     rng = np.random.default_rng(8)
     rows = [(int(i), "same text" if i % 3 == 0 else "z" * int(rng.integers(0, 90))) for i in range(3000)] + [(None, None), (5, None), (5, None)]

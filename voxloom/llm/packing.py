@@ -4,8 +4,9 @@
    texts that share passages tend to share a key.
 2. Keys are dealt to buckets, buckets to shards of about :data:`SHARD_TOKENS`; a bucket larger than a
    shard is split over several.  Only the sums per bucket (at most :data:`MAX_BUCKETS`) reach the driver.
-3. Each shard builds an inverted index of BM25 impacts.  The first unused document seeds a window; its
-   strongest terms retrieve unused neighbours, best first, which fill the window.  Where none is left,
+3. Document frequencies and the mean length are those of all documents (at most one number per token id).
+4. Each shard builds an inverted index of BM25 impacts.  The first unused document seeds a window; its
+   terms retrieve unused neighbours of the shard, best first, which fill the window.  Where none is left,
    unused documents follow in order.  The document that meets the end is cut, its rest opens the next window.
 
 So only the last window of a shard is padded.  Nulls: a null text is empty and has the end id only; null
@@ -28,7 +29,6 @@ from voxloom.llm.wordbpe import WordIds
 WINDOW, END_ID = 4096, 2
 SHARD_TOKENS = 3_000_000
 MAX_BUCKETS = 65_536
-QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 
 
@@ -72,10 +72,41 @@ def with_shard(tokens: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame
     return bucketed.join(F.broadcast(plan), "bucket").withColumn("shard", F.col("first") + salt).drop("bucket", "first", "parts")
 
 
+def _ids(table: pa.Table | pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(b.as_buffer(), "<u4" if w.as_py() else "<u2") for b, w in zip(table["ids"], table["wide"])]
+
+
+#: Number of documents, their mean length, and the document frequency by token id.
+Stats = tuple[int, float, np.ndarray]
+
+
+def statistics(tokens: DataFrame) -> Stats:
+    """Over all rows; frequencies are summed in each task, so no more than the vocabulary is shuffled per task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(1 << 16, np.int64)
+        for batch in batches:
+            for ids in _ids(batch):
+                t = np.unique(ids)
+                if t[-1] >= len(df):
+                    df = np.concatenate([df, np.zeros(int(t[-1]) + 1 - len(df), np.int64)])
+                df[t] += 1
+        t = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(df[t])], ["term", "df"])
+
+    total = tokens.agg(F.count("*").alias("docs"), F.avg("n").alias("mean")).first()
+    # At most one row for each id of the vocabulary.
+    sums = tokens.select("wide", "ids").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    term = sums["term"].to_numpy()
+    df = np.zeros(int(term.max(initial=0)) + 1, np.int64)
+    df[term] = sums["df"].to_numpy()
+    return total.docs, float(total.mean or 1), df
+
+
 class Index:
-    """BM25 impacts of a shard's documents, as an inverted index."""
+    """BM25 impacts of a shard's documents, as an inverted index; statistics of these documents unless given."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], stats: Stats | None = None):
         terms, counts, owner = [], [], []
         for k, ids in enumerate(docs):
             t, c = np.unique(ids, return_counts=True)
@@ -86,20 +117,18 @@ class Index:
         term, tf, doc = np.concatenate(terms), np.concatenate(counts).astype(np.float32), np.concatenate(owner)
         size = np.array([len(d) for d in docs], np.float32)
         self.names, self.term = np.unique(term, return_inverse=True)
-        df = np.bincount(self.term, minlength=len(self.names))
-        idf = np.log(1 + (len(docs) - df + 0.5) / (df + 0.5)).astype(np.float32)
-        self.impact = idf[self.term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / size.mean()))
+        here = np.bincount(self.term, minlength=len(self.names))
+        n, mean, df = (len(docs), size.mean(), here) if stats is None else (stats[0], np.float32(stats[1]), stats[2][self.names])
+        idf = np.log(1 + (n - df + 0.5) / (df + 0.5)).astype(np.float32)
+        self.impact = idf[self.term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / mean))
         order = np.argsort(self.term, kind="stable")
         self.doc, self.weight = doc[order], self.impact[order]
-        self.at = np.cumsum(np.concatenate([[0], df]))
+        self.at = np.cumsum(np.concatenate([[0], here]))
         self.n = len(docs)
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share the seed's strongest terms, best first, ties in order."""
-        span = slice(self.edges[seed], self.edges[seed + 1])
-        t, impact = self.term[span], self.impact[span]
-        if len(t) > QUERY_TERMS:
-            t = t[np.argpartition(-impact, QUERY_TERMS)[:QUERY_TERMS]]
+        """Unused documents that share terms with the seed, best first, ties in order."""
+        t = self.term[self.edges[seed]:self.edges[seed + 1]]
         pieces = [slice(self.at[k], self.at[k + 1]) for k in np.sort(t)]
         score = np.bincount(np.concatenate([self.doc[p] for p in pieces]), np.concatenate([self.weight[p] for p in pieces]), self.n)
         found = np.flatnonzero((score > 0) & ~used)
@@ -109,9 +138,9 @@ class Index:
         return found[np.argsort(-score[found], kind="stable")]
 
 
-def pack_shard(docs: list[np.ndarray], window: int = WINDOW) -> list[tuple[int, int, int, int, int]]:
+def pack_shard(docs: list[np.ndarray], window: int = WINDOW, stats: Stats | None = None) -> list[tuple[int, int, int, int, int]]:
     """``(document, start, length, sequence, offset)`` of every piece, in order."""
-    index = Index(docs)
+    index = Index(docs, stats)
     used, pieces = np.zeros(len(docs), bool), []
     sequence, room, following = 0, window, 0
     queue: list[int] = []
@@ -149,11 +178,12 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, id_col:
          shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row per piece: which ids of which document lie where.  ``ids`` are little-endian unsigned 32-bit numbers."""
     tokens = saved(tokenized(text_spread(ids_and_texts(docs, id_col, text_col)), path), "tokens")
+    stats = statistics(tokens)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("key", "ascending"), ("n", "ascending")])
-        ids = [np.frombuffer(b.as_buffer(), "<u4" if w.as_py() else "<u2") for b, w in zip(table["ids"], table["wide"])]
-        pieces = pack_shard(ids, window)
+        ids = _ids(table)
+        pieces = pack_shard(ids, window, stats)
         doc, start, length, sequence, offset = (np.array(v, np.int64) for v in zip(*pieces))
         cut = pa.array([ids[k][s:s + n].astype("<u4").tobytes() for k, s, n, _, _ in pieces], pa.binary())
         return pa.table({
