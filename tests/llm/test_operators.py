@@ -279,6 +279,25 @@ def test_licences():
     assert MODEL.classify("Distributed under the Eclipse Public License.") == "unknown"
 
 
+def test_licence_bodies_in_ordinary_prose():
+    """Words of licences that prose uses as well do not hide a licence paragraph; prose stays none."""
+    prose = ["The redistribution of land in source and binary star systems takes many forms and is not permitted without modification.",
+             "Permission to enter was hereby granted free of charge to any person who was obtaining a copy of the book.",
+             "They use this list of conditions to retain the name of the holder, and the following materials are provided.",
+             "Neither the contributors nor the authors were liable for damages, and no event was limited in any particular way.",
+             "She had written to them above all with the hope that a copy would be useful to persons of her kind.",
+             "The author published two portions of the work, and the notice was included in substantial form in all of the papers.",
+             "Software is sold in the shop, subject to tax, as the law of the state required."]
+    model = licenses.Model(["\n".join(prose) + "\n" + PROSE] * 40)
+    for family, text in [("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+                         ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+                         ("mit", licenses.BODIES["mit"][1]), ("bsd", licenses.BODIES["bsd"][0])]:
+        assert model.classify(text) == family
+    assert model.classify('The program is provided "as is" without warranty of any kind, either expressed or implied.') != "none"
+    assert [model.classify(p) for p in prose] == ["none"] * len(prose)
+    assert model.classify("It was the best of times, and they had to use the road by the river.") == "none"
+
+
 def test_bpe_and_counts_equal_the_library(docs):
     import public_tokenizers
     from tokenizers import Tokenizer, models

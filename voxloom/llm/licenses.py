@@ -2,11 +2,12 @@
 
 A paragraph is a line.  Sparse word one- and two-grams feed a multinomial logistic regression over the
 licence families and ``none``.  It is trained here, on statements made from :data:`TEMPLATES` with words
-left out and corpus words around them, on statements of licences outside the families, and on paragraphs
-of a bounded sample of texts.  A licence paragraph whose best family falls under a calibrated probability
+left out and corpus words around them, on body paragraphs of known licences (:data:`BODIES`), on statements
+of licences outside the families, and on paragraphs of a bounded sample of texts.  A licence paragraph whose best family falls under a calibrated probability
 is ``unknown``; so is one that shares too little with every template of the predicted family.
 
-Paragraphs without any word that only licence statements use are ``none`` without being scored.
+Every paragraph with an n-gram of the statements is scored; the trained class ``none`` decides.  Only
+paragraphs without any of them, whose score would be that of an empty one, are ``none`` at once.
 
 Nulls: a null text is empty and has no licences; ids are passed through, repeated rows give repeated
 results, texts and paragraphs of any length are read whole, an empty table gives an empty result.  Extra
@@ -41,10 +42,31 @@ TEMPLATES = {
     "cc-by-nc": ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Licensed under CC BY-NC 4.0."),
     "cc0": ("To the extent possible under law, the author has waived all copyright and related rights to this work.", "Released under CC0 1.0."),
 }
+#: Paragraphs from the body of licences, also compared with.
+BODIES = {
+    "mit": ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, "
+            "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+            "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.",
+            "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    "bsd": ("Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+            "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
+            "in the documentation and/or other materials provided with the distribution.",
+            "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+            "from this software without specific prior written permission."),
+    "apache-2.0": ("Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, "
+                   "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",),
+    "gpl": ("This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+            "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",),
+}
 #: Licence statements of no family: they teach the model what an unknown licence looks like.
 OTHERS = ("Licensed under the terms of our own licence agreement.", "This work is licensed under the European Union Public Licence.",
           "All rights reserved.", "Distributed under the Eclipse Public License.", "Use is subject to the licence terms of the vendor.",
-          "Released under the Artistic License.")
+          "Released under the Artistic License.",
+          # Disclaimers that several families share.
+          "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+          "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+          "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF "
+          "CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE.")
 MAX_TEXTS = 300
 CONFIRM = 0.5
 #: Share of held-out family statements that may be called unknown by the calibrated probability.
@@ -68,7 +90,8 @@ class Model:
         r = np.random.default_rng(3)
         self.families = [*TEMPLATES, "other", "none"]
         plain = [p for t in texts for p in t.split("\n") if p.strip()][:4000]
-        statements = [t for ts in TEMPLATES.values() for t in ts] + list(OTHERS)
+        known = {k: (*ts, *BODIES.get(k, ())) for k, ts in TEMPLATES.items()}
+        statements = [t for ts in known.values() for t in ts] + list(OTHERS)
         licence_words = {w for s in statements for w in words_of(s)}
         # Corpus lines that look like statements are left out of the plain examples.
         strong = {w for w in licence_words if re.search("licen[sc]|gnu|gpl|apache|mozilla|creative|copyright|warrant", w)}
@@ -77,7 +100,7 @@ class Model:
         self.signal = licence_words - common
         filler = sorted(common - licence_words) or ["word"]
         samples: list[tuple[list[str], int]] = []
-        for k, statements in enumerate([*TEMPLATES.values(), OTHERS]):
+        for k, statements in enumerate([*known.values(), OTHERS]):
             for s in statements:
                 for j in range(60):
                     w = words_of(s)
@@ -93,7 +116,7 @@ class Model:
             if j % 2 and w:
                 w.insert(int(r.integers(0, len(w) + 1)), loose[int(r.integers(len(loose)))])
             samples.append((w, len(self.families) - 1))
-        names = sorted({g for s in [*sum(map(list, TEMPLATES.values()), []), *OTHERS] for g in grams(words_of(s))})
+        names = sorted({g for s in [*sum(map(list, known.values()), []), *OTHERS] for g in grams(words_of(s))})
         self.feature = {g: i for i, g in enumerate(names)}
         x = np.stack([self.vector(w) for w, _ in samples])
         y = np.array([k for _, k in samples])
@@ -110,7 +133,7 @@ class Model:
         family = y[held] < len(TEMPLATES)
         right = np.sort(p[family, y[held][family]])
         self.least = float(min(0.6, right[int(len(right) * UNKNOWN_MISS)])) if len(right) else 0.5
-        self.templates = {k: [set(words_of(t)) for t in ts] for k, ts in TEMPLATES.items()}
+        self.templates = {k: [set(words_of(t)) for t in ts] for k, ts in known.items()}
 
     def vector(self, words: list[str]) -> np.ndarray:
         v = np.zeros(len(self.feature))
@@ -128,19 +151,22 @@ class Model:
     def classify(self, paragraph: str) -> str:
         """A family, ``unknown`` or ``none``."""
         words = words_of(paragraph)
-        if self.signal.isdisjoint(words):
+        here = set(words)
+        columns = [i for i in map(self.feature.get, here.union(grams(words))) if i is not None]
+        if not columns:
             return "none"
-        p = self._softmax(self.vector(words)[None])[0]
+        z = self.w[columns].sum(axis=0) + self.b
+        p = np.exp(z - z.max())
+        p /= p.sum()
         k = int(p.argmax())
         name = self.families[k]
         if name == "none":
             return "none"
         if name == "other" or p[k] < self.least:
             return "unknown"
-        here = set(words)
         # Share of the template found here: the paragraph may go on around it.
         likeness = max(len(t & here) / len(t) for t in self.templates[name])
-        return name if likeness >= CONFIRM and any(self.signal & t & here for t in self.templates[name]) else "unknown"
+        return name if likeness >= CONFIRM else "unknown"
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
