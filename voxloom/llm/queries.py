@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import ann, bpe, licenses, neardup, packing, quality, rules, secrets, sharding, tokencount
+from voxloom.llm import ann, bpe, licenses, neardup, packing, quality, rules, secrets, sharding, tokencount, topk
 from voxloom.llm.common import prepared
 from voxloom.llm.rules_sql import RULES_SQL
+from voxloom.llm.topk_sql import TOP_K_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +106,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence paragraphs of all documents."""
     return licenses.scan(documents(spark, sf_dir))
+
+
+@query("op11_top_k", TOP_K_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty highest integer inner products of every twentieth vector with all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
