@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import ann, bpe, licenses, neardup, packing, quality, rules, secrets, sharding, tokencount, topk
+from voxloom.llm import ann, bpe, importance, licenses, neardup, packing, quality, rules, secrets, sharding, tokencount, topk
 from voxloom.llm.common import prepared
+from voxloom.llm.importance_sql import IMPORTANCE_SQL
 from voxloom.llm.rules_sql import RULES_SQL
 from voxloom.llm.topk_sql import TOP_K_SQL
 
@@ -113,3 +114,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty highest integer inner products of every twentieth vector with all others."""
     vectors = table(spark, sf_dir, "embeddings")
     return topk.search(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+@query("op12_importance_resampling", IMPORTANCE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their score against the benchmark texts, and the rank of the twentieth part drawn."""
+    return importance.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
