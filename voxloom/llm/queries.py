@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import ann, bpe, importance, licenses, neardup, packing, quality, rules, secrets, sharding, tokencount, topk
+from voxloom.llm import ann, bpe, importance, licenses, neardup, packing, quality, rules, secrets, sharding, tokencount, topk, trie
 from voxloom.llm.common import prepared
 from voxloom.llm.importance_sql import IMPORTANCE_SQL
 from voxloom.llm.rules_sql import RULES_SQL
 from voxloom.llm.topk_sql import TOP_K_SQL
+from voxloom.llm.trie_sql import TRIE_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +121,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their score against the benchmark texts, and the rank of the twentieth part drawn."""
     return importance.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_prefix_trie", TRIE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the prefix trie of the rebuilt conversations."""
+    return trie.trie(trie.rebuilt(table(spark, sf_dir, "conversations")))
