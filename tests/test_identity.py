@@ -133,7 +133,36 @@ def test_registry_loses_no_row(spark):
     from voxloom.operators.joins import apply_registry
 
     rows = spark.createDataFrame([("x",), (None,)], "source string")
-    known = spark.createDataFrame([("x", 1), (None, 2)], "source string, rate int")
+    known = spark.createDataFrame([("x", 1, 2.5), (None, 2, 9.0)], "source string, rate int, max_s double")
     assert {(r.source, r.rate) for r in apply_registry(rows, known).collect()} == {("x", 1), (None, 2)}
-    with pytest.raises(Exception, match="no settings for"):
-        apply_registry(spark.createDataFrame([("y",)], "source string"), known).collect()
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+@pytest.mark.parametrize("missing", ["y", None])
+def test_unknown_source_fails_whatever_is_read(spark, monkeypatch, missing, broadcast):
+    from voxloom.operators import joins
+
+    if not broadcast:
+        monkeypatch.setattr(joins, "small_side", lambda df, *_: df)
+    known = spark.createDataFrame([("x", 1, 2.5, "a")], "source string, rate int, max_s double, registered string")
+    rows = joins.apply_registry(spark.createDataFrame([("x", 1), (missing, 2)], "source string, i int"), known)
+    uses = [lambda d: d.select("max_s"), lambda d: d.select("rate"), lambda d: d.select("i"), lambda d: d.select("source").distinct(),
+            lambda d: d.groupBy().count(), lambda d: d.filter("max_s < 5").select("i"), lambda d: d.filter("registered IS NOT NULL").select("rate"),
+            lambda d: d.groupBy("registered").count()]
+    for use in uses:
+        with pytest.raises(Exception, match="no settings for"):
+            use(rows).collect()
+    good = joins.apply_registry(spark.createDataFrame([("x", 1)], "source string, i int"), known)
+    assert [use(good).count() for use in uses] == [1] * len(uses)
+
+
+def test_registry_of_the_specs(spark):
+    """A fixed registry: its own sources pass, any other fails."""
+    from voxloom.operators.joins import apply_registry
+    from voxloom.sources.scan import registry_frame
+
+    registry = registry_frame(spark)
+    names = registry.select("source")
+    assert apply_registry(names, registry).select("max_s").count() == registry.count()
+    with pytest.raises(Exception, match='no settings for {"source":"nobody"}'):
+        apply_registry(names.unionAll(spark.createDataFrame([("nobody",)], "source string")), registry).select("max_s").collect()

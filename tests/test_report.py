@@ -20,8 +20,8 @@ def corpus(spark):
 
 def test_histograms_add_up(corpus):
     rows, df = corpus
-    for hist, edges, at in ((report.snr_report(df)[0], report.SNR_EDGES, 4), (report.duration_report(df)[0], report.DURATION_EDGES, 3),
-                            (report.rate_report(df)[0], report.RATE_EDGES, 6)):
+    for hist, edges, at in ((report.snr_histogram(df), report.SNR_EDGES, 4), (report.duration_histogram(df), report.DURATION_EDGES, 3),
+                            (report.rate_histogram(df), report.RATE_EDGES, 6)):
         counts = [r.n for r in hist.collect()]
         values = [r[at] for r in rows]
         want = np.histogram(values, [-np.inf, *edges, np.inf])[0]
@@ -31,10 +31,10 @@ def test_histograms_add_up(corpus):
 def test_moments(corpus):
     rows, df = corpus
     rms = np.array([r[5] for r in rows])
-    got = report.rms_report(df).head()
+    got = report.rms_stats(df).head()
     assert got.mean == pytest.approx(rms.mean(), abs=1e-3) and got.std == pytest.approx(rms.std(), abs=1e-3)
     assert (got.median, got.p5, got.p95) == tuple(pytest.approx(v, abs=1e-3) for v in np.percentile(rms, [50, 5, 95]))
-    assert report.duration_report(df)[1].head().max == max(r[3] for r in rows)
+    assert report.duration_stats(df).head().max == max(r[3] for r in rows)
 
 
 def test_levels_add_up(corpus):
@@ -68,4 +68,42 @@ def test_empty_corpus(corpus):
     _, df = corpus
     none = df.filter(F.lit(False))
     assert report.corpus_totals(none).head().utterances in (None, 0)
-    assert report.snr_report(none)[0].collect() == []
+    assert report.snr_histogram(none).collect() == []
+    assert tuple(report.rms_stats(none).head()) == (0, None, None, None, None, None)
+
+
+def test_percentiles_of_distinct_values_move_no_rows(spark):
+    """All values differ; a pass shuffles counts of ranges, not values."""
+    n = 200_000
+    df = spark.range(n, numPartitions=8).select(((F.col("id") * 7919) % n * 3 - 50_000).alias("t"))
+    want = np.sort(np.arange(n) * 3 - 50_000)
+    ranks = [0, 1, n // 2, n // 20 - 1, n - 1]
+    before = shuffled_records(spark)
+    assert ranks_of(df, ranks, cells=16) == {r: int(want[r]) for r in ranks}
+    added = shuffled_records(spark)[len(before):]
+    # A stage reads one count for each range and task that wrote it, never the values.
+    assert added and max(added) <= 8 * 16 * len(ranks)
+    got = report.moments(df.select((F.col("t") / 10.0).alias("v")).select(report.ticks(F.col("v"), 1).alias("t")), 1, (0.05, 0.95), extremes=True).head()
+    assert got.n == n and got.max == want[-1] / 10
+    assert (got.median, got.p5, got.p95) == tuple(round(float(x), 4) for x in np.percentile(want / 10, [50, 5, 95]))
+
+
+def shuffled_records(spark) -> list[int]:
+    """Records that each stage so far read from shuffles, oldest first."""
+    empty = spark._jvm.java.util.ArrayList()
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(empty, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), empty)
+    return [n for _, n in sorted((stages.apply(i).stageId(), stages.apply(i).shuffleReadRecords()) for i in range(stages.size()))]
+
+
+def ranks_of(df, ranks, **kw):
+    from voxloom.operators.ranks import values_at
+
+    return values_at(df, ranks, *df.agg(F.min("t"), F.max("t")).head(), **kw)
+
+
+@pytest.mark.parametrize("values", [[5], [5] * 1000, [-3, 7], [0, 0, 0, 10**15], list(range(-500, 500))])
+def test_ranks_with_ties_and_gaps(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "t long")
+    for cells in (2, 1024):
+        assert ranks_of(df, range(0, len(values), max(1, len(values) // 7)), cells=cells) == {
+            r: sorted(values)[r] for r in range(0, len(values), max(1, len(values) // 7))}

@@ -49,14 +49,14 @@ def cmd_merge(spark, a) -> None:
 
 
 def cmd_report(spark, a) -> None:
-    corpus = spark.read.parquet(a.corpus)
-    for df in (report.corpus_totals(corpus), report.source_summary(corpus), report.split_summary(corpus), *report.snr_report(corpus),
-               report.rms_report(corpus), *report.duration_report(corpus), *report.rate_report(corpus)):
-        _show(df)
+    corpus = scan.read_keyed(spark, a.corpus)
+    for of in (report.corpus_totals, report.source_summary, report.split_summary, report.snr_histogram, report.snr_stats, report.rms_stats,
+               report.duration_histogram, report.duration_stats, report.rate_histogram, report.rate_stats):
+        _show(of(corpus))
 
 
 def cmd_check(spark, a) -> None:
-    repair.require_good(spark.read.parquet(a.corpus))
+    repair.require_good(scan.read_keyed(spark, a.corpus))
     print("all checks passed")
 
 

@@ -76,15 +76,17 @@ def without_existing(rows: DataFrame, existing: DataFrame, keys: Sequence[str])
 def apply_registry(rows: DataFrame, registry: DataFrame, on: Sequence[str] | str = "source") -> DataFrame:
     """Attach the settings of each row's source; the registry holds one row per source.
 
-    No row is lost: a source that the registry does not know, or a null one, fails the query with its name.
+    No row is lost: a source that the registry does not know, or a null one, fails the query with its name,
+    whatever is selected afterwards.  The filter stays in every plan that counts or passes on rows; the check
+    in each attached column keeps later filters on it from turning the join into an inner one.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    marked = registry.withColumn("_known", F.lit(True))
-    joined = null_safe_join(rows, small_side(marked, 10_000), keys, "left")
-    named = F.concat(F.lit("no settings for "), F.to_json(F.struct(*keys)))
-    first = next(c for c in registry.columns if c not in keys)
-    # Checked in a projection: a filter would let the optimizer turn the join into an inner one.
-    return joined.withColumn(first, F.when(F.col("_known"), F.col(first)).otherwise(F.raise_error(named))).drop("_known")
+    mark = "_known"
+    joined = null_safe_join(rows, small_side(registry.withColumn(mark, F.lit(True)), 10_000), keys, "left")
+    unknown = F.raise_error(F.concat(F.lit("no settings for "), F.to_json(F.struct(*keys))))
+    checked = joined.filter(F.coalesce(F.col(mark), unknown.cast("boolean")))
+    attached = {c: F.when(F.col(mark), F.col(c)).otherwise(unknown) for c in registry.columns if c not in keys}
+    return checked.withColumns(attached).drop(mark)
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -1,12 +1,13 @@
 """Corpus reports from scalar columns; waveforms are never read.
 
-Percentiles are exact.  They come from counts per rounded value: with two
-decimals of a level or four of a duration the number of distinct values has a
-fixed bound, however many rows there are.
+Percentiles are exact.  Rounded values are integers of their last digit; one
+narrow copy of them is counted in ranges that narrow around the wanted ranks, so
+no task receives all values, however many differ.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,8 @@ from pyspark.sql.window import Window as W
 
 from ..functions.text import hours_label
 from ..operators.gates import reason_class
+from ..operators.ranks import values_at
+from ..session import materialized
 from ..specs import DEFAULT_CONFIG_SHORT
 
 # Lower bounds of the report's buckets, [lower, next lower).
@@ -162,10 +165,9 @@ def speaker_estimate(kept: DataFrame, error: float = 0.02) -> DataFrame:
     return kept.agg(F.approx_count_distinct("speaker_id", error).alias("speakers"))
 
 
-def value_counts(rows: DataFrame, value: Column, digits: int) -> DataFrame:
-    """``(value, n)`` for values rounded to ``digits``: few rows, whatever the input."""
-    counts = rows.filter(value.isNotNull()).groupBy(ticks(value, digits).alias("_t")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select((F.col("_t") / float(10**digits)).alias("value"), "n")
+def value_ticks(rows: DataFrame, value: Column, digits: int) -> DataFrame:
+    """The values as integers ``t`` of their last digit, nulls left out: one narrow column."""
+    return rows.filter(value.isNotNull()).select(ticks(value, digits).alias("t"))
 
 
 def bucket_of(value: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
@@ -186,40 +188,55 @@ def histogram(rows: DataFrame, value: Column, edges: Sequence[float], labels: Se
     )
 
 
-def moments(counts: DataFrame, digits: int = 4, percentiles: Sequence[float] = (), extremes: bool = False) -> DataFrame:
-    """Mean, population deviation, exact median and further percentiles from value counts."""
-    value, n = F.col("value"), F.col("n")
-    mean = F.sum(value * n) / F.sum(n)
-    spread = F.sqrt(F.greatest(F.lit(0.0), F.sum(value * value * n) / F.sum(n) - mean * mean))
-    wanted = [0.5, *percentiles]
-    stats = counts.agg(
-        F.sum(n).cast("long").alias("n"), mean.alias("mean"), spread.alias("std"),
-        F.percentile(value, F.array(*[F.lit(float(p)) for p in wanted]), n).alias("_p"),
-        F.max(value).alias("max"),
-    )
-    return stats.select(
-        "n", F.round("mean", digits).alias("mean"), F.round(F.get("_p", F.lit(0)), digits).alias("median"),
-        F.round("std", digits).alias("std"),
-        *[F.round(F.get("_p", F.lit(i + 1)), digits).alias(f"p{round(p * 100)}") for i, p in enumerate(percentiles)],
-        *([F.round("max", digits).alias("max")] if extremes else []),
-    )
+def moments(values: DataFrame, digits: int, percentiles: Sequence[float] = (), extremes: bool = False, shown: int = 4) -> DataFrame:
+    """One row: mean, population deviation, exact median and further percentiles of ``t`` in units of ``10**-digits``.
+
+    Percentiles between two values are interpolated.  Sums are exact, whatever the order of the rows.
+    """
+    kept = materialized(values, "ticks")
+    exact = F.col("t").cast("decimal(19,0)")
+    n, low, high, total, squares = kept.agg(
+        F.count("t"), F.min("t"), F.max("t"), F.sum(exact), F.sum((exact * exact).cast("decimal(38,0)"))).head()
+    wanted = {"median": 0.5, **{f"p{round(p * 100)}": p for p in percentiles}}
+    stats: dict[str, float | None] = dict.fromkeys(("mean", "median", "std", *list(wanted)[1:], *(["max"] if extremes else [])))
+    if n:
+        unit, total, squares = 10.0**digits, int(total), int(squares)
+        places = {name: (n - 1) * p for name, p in wanted.items()}
+        at = values_at(kept, [r for x in places.values() for r in (math.floor(x), math.ceil(x))], low, high)
+        for name, x in places.items():
+            a, b = at[math.floor(x)] / unit, at[math.ceil(x)] / unit
+            stats[name] = a + (b - a) * (x - math.floor(x))
+        stats["mean"] = total / n / unit
+        stats["std"] = math.sqrt(max(0, n * squares - total * total)) / n / unit
+        if extremes:
+            stats["max"] = high / unit
+    one = kept.sparkSession.createDataFrame([(n, *stats.values())], ", ".join(["n long", *(f"{c} double" for c in stats)]))
+    return one.select("n", *[F.round(c, shown).alias(c) for c in stats])
+
+
+def snr_histogram(kept: DataFrame) -> DataFrame:
+    return histogram(kept, F.col("snr_db"), SNR_EDGES, SNR_LABELS)
+
+
+def snr_stats(kept: DataFrame) -> DataFrame:
+    return moments(value_ticks(kept, F.col("snr_db"), 2), 2)
+
+
+def rms_stats(kept: DataFrame) -> DataFrame:
+    return moments(value_ticks(kept, F.col("rms_db"), 2), 2, percentiles=(0.05, 0.95))
 
 
-def snr_report(kept: DataFrame) -> tuple[DataFrame, DataFrame]:
-    snr = F.col("snr_db")
-    return histogram(kept, snr, SNR_EDGES, SNR_LABELS), moments(value_counts(kept, snr, 2))
+def duration_histogram(kept: DataFrame) -> DataFrame:
+    return histogram(kept, F.col("duration"), DURATION_EDGES, DURATION_LABELS)
 
 
-def rms_report(kept: DataFrame) -> DataFrame:
-    return moments(value_counts(kept, F.col("rms_db"), 2), percentiles=(0.05, 0.95))
+def duration_stats(kept: DataFrame) -> DataFrame:
+    return moments(value_ticks(kept, F.col("duration"), 4), 4, extremes=True)
 
 
-def duration_report(kept: DataFrame) -> tuple[DataFrame, DataFrame]:
-    duration = F.col("duration")
-    return histogram(kept, duration, DURATION_EDGES, DURATION_LABELS), moments(value_counts(kept, duration, 4), extremes=True)
+def rate_histogram(kept: DataFrame, rate: str = "speaking_rate") -> DataFrame:
+    return histogram(kept, F.col(rate), RATE_EDGES, RATE_LABELS)
 
 
-def rate_report(kept: DataFrame, rate: str = "speaking_rate") -> tuple[DataFrame, DataFrame]:
-    """The rate has four decimals and one value per ratio of words to samples, so its counts stay few."""
-    value = F.col(rate)
-    return histogram(kept, value, RATE_EDGES, RATE_LABELS), moments(value_counts(kept, value, 4))
+def rate_stats(kept: DataFrame, rate: str = "speaking_rate") -> DataFrame:
+    return moments(value_ticks(kept, F.col(rate), 4), 4)

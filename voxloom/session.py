@@ -126,6 +126,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def materialized(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for plans that read it several times.
+
+    The folder goes when the driver's JVM ends.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    fs, p = hadoop_path(spark, path)
+    fs.deleteOnExit(p)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame, bytes_per_task: int = 1 << 20, small_bytes: int = 128 << 20) -> DataFrame:
     """Use all cores for heavy work on a small scan.
 

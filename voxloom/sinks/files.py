@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import hadoop_path
+from ..sources.scan import read_keyed
 
 MAX_FILE_BYTES = 2 * 1024**3  # fixed value: largest file of a merged corpus
 
@@ -68,7 +69,7 @@ def replace_in_place(spark: SparkSession, path: str, new_rows: DataFrame, check=
     staging, retired = f"{path}.new-{tag}", f"{path}.old-{tag}"
     write_shards(new_rows, staging, **{"rows_per_file": 0, **write})
     if check is not None:
-        check(spark.read.parquet(staging))
+        check(read_keyed(spark, staging))
     fs, current = hadoop_path(spark, path)
     _, new = hadoop_path(spark, staging)
     _, old = hadoop_path(spark, retired)

@@ -117,42 +117,42 @@ SELECT count(*)::BIGINT AS n, round(avg({value}), 4) AS mean, round(quantile_con
 
 @query("snr_histogram", _sql_buckets("snr_db", (10, 20, 30, 40), ("<10", "10-20", "20-30", "30-40", ">40")))
 def snr_histogram(spark, d):
-    return report.snr_report(kept(spark, d))[0]
+    return report.snr_histogram(kept(spark, d))
 
 
 @query("snr_stats", _sql_moments("snr_db"))
 def snr_stats(spark, d):
-    return report.snr_report(kept(spark, d))[1]
+    return report.snr_stats(kept(spark, d))
 
 
 @query("rms_stats", _sql_moments("rms_db", ", round(quantile_cont(rms_db, 0.05), 4) AS p5, round(quantile_cont(rms_db, 0.95), 4) AS p95"))
 def rms_stats(spark, d):
-    return report.rms_report(kept(spark, d))
+    return report.rms_stats(kept(spark, d))
 
 
 @query("duration_histogram", _sql_buckets("duration", (2, 5, 10, 20), ("<2", "2-5", "5-10", "10-20", ">20")))
 def duration_histogram(spark, d):
-    return report.duration_report(kept(spark, d))[0]
+    return report.duration_histogram(kept(spark, d))
 
 
 @query("duration_stats", _sql_moments("duration", ", round(max(duration), 4) AS max"))
 def duration_stats(spark, d):
-    return report.duration_report(kept(spark, d))[1]
+    return report.duration_stats(kept(spark, d))
 
 
 @query("rate_histogram", _sql_buckets("speaking_rate", (5, 10, 15, 20), ("<5", "5-10", "10-15", "15-20", ">20")))
 def rate_histogram(spark, d):
-    return report.rate_report(kept(spark, d))[0]
+    return report.rate_histogram(kept(spark, d))
 
 
 @query("rate_stats", _sql_moments("speaking_rate"))
 def rate_stats(spark, d):
-    return report.rate_report(kept(spark, d))[1]
+    return report.rate_stats(kept(spark, d))
 
 
 @query("char_rate_stats", _sql_moments("chars_per_sec"))
 def char_rate_stats(spark, d):
-    return report.rate_report(kept(spark, d), "chars_per_sec")[1]
+    return report.rate_stats(kept(spark, d), "chars_per_sec")
 
 
 @query("speaker_count", f"""
