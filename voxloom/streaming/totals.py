@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import RECOMMENDED
-
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
@@ -45,18 +41,11 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
     return updates.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("_v")).select(*keys, "_v.*")
 
 
-def stream_dedup(stream: DataFrame, keys: Sequence[str], event_time: str | None = None, delay: str = "1 hour") -> DataFrame:
-    """First arrival of every key.
+def stream_dedup(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str = "1 hour") -> DataFrame:
+    """First arrival of every key within ``delay``; older keys are forgotten, so the state stays bounded.
 
-    Without an event time the state keeps every key seen, so a session that has
-    Spark's default store, which lives on the heap, gets the disk-backed one;
-    with an event time, keys older than ``delay`` are forgotten.
+    Keys that have to be known for ever belong in a table: :class:`voxloom.streaming.seen.SeenKeys`.
     """
-    if event_time is None:
-        conf = stream.sparkSession.conf
-        if conf.get(PROVIDER, "HDFSBackedStateStoreProvider").endswith("HDFSBackedStateStoreProvider"):
-            conf.set(PROVIDER, RECOMMENDED[PROVIDER])
-        return stream.dropDuplicates(list(keys))
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 

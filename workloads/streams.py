@@ -10,6 +10,7 @@ from voxloom.sources.files import list_files
 from voxloom.specs import SourceSpec
 from voxloom.streaming import totals
 from voxloom.streaming.incremental import IncrementalBuild
+from voxloom.streaming.seen import SeenKeys
 
 from . import query
 from .tables import PARAMS, SQL_SIGNAL, sql_normal, sql_words, table
@@ -134,15 +135,29 @@ def stream_totals(spark, d):
     return totals.latest(spark, f"{root}/out", ["event_type"])
 
 
-@query("stream_dedup", "SELECT DISTINCT md5(text) AS utt_id FROM documents")
+@query("stream_dedup", """
+SELECT utt_id, true AS once FROM (SELECT DISTINCT md5(text) AS utt_id FROM documents)""")
 def stream_dedup(spark, d):
-    """One row per key over several micro-batches; equal texts stand for equal ids."""
+    """One row per key over several micro-batches; equal texts stand for equal ids.
+
+    Half of the files arrive after the keys were packed, and the checkpoint is lost before the last run.
+    """
     root = scratch_path(spark, "stream-dedup")
     ids = table(spark, d, "documents").select("doc_id", F.md5("text").alias("utt_id"), "lang")
-    ids.write.partitionBy("lang").parquet(f"{root}/in")
-    stream = totals.file_stream(spark, f"{root}/in", ids.schema, thirds(spark, f"{root}/in"))
-    totals.run_to_table(totals.stream_dedup(stream, ["utt_id"]), f"{root}/out", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/out").select("utt_id")
+    seen = SeenKeys(spark, f"{root}/out", ["utt_id"], ids.schema)
+
+    def arrive(some) -> None:
+        ids.filter(some).write.mode("append").partitionBy("lang").parquet(f"{root}/in")
+        seen.run(totals.file_stream(spark, f"{root}/in", ids.schema, thirds(spark, f"{root}/in")), f"{root}/checkpoint")
+
+    late = F.coalesce(F.col("doc_id") % 2 == 1, F.lit(True))
+    arrive(~late)
+    seen.pack()
+    arrive(late)
+    fs, checkpoint = hadoop_path(spark, f"{root}/checkpoint")
+    fs.delete(checkpoint, True)
+    arrive(F.lit(False))
+    return seen.rows().groupBy("utt_id").agg((F.count(F.lit(1)) == 1).alias("once"))
 
 
 @query("live_counters", "SELECT source, count(*)::BIGINT AS n_rows, (SELECT count(*) FROM documents)::BIGINT AS observed FROM documents GROUP BY source")
