@@ -8,10 +8,12 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.joins import without_existing
 from ..session import hadoop_path, path_exists
-from ..sinks.files import balanced, manifest, rows_within, write_shards
+from ..sinks.files import manifest, rows_within, write_shards
+from .compact import TARGET_BYTES, compact_folder
 
 KEYS = ("source", "split")
 KEY_SCHEMA = "source string, split string"
@@ -56,14 +58,15 @@ def _record(spark: SparkSession, path: str, keys: list[tuple]) -> None:
     spark.createDataFrame(keys, KEY_SCHEMA).coalesce(1).write.mode("append").option("ignoreNullFields", "false").json(f"{path}/{FINISHED}")
 
 
-def merge_corpus(spark: SparkSession, parts: Sequence[DataFrame], path: str, compact: bool = False) -> DataFrame:
+def merge_corpus(spark: SparkSession, parts: Sequence[DataFrame], path: str, compact: bool = False, target_bytes: int = TARGET_BYTES) -> DataFrame:
     """Append the splits that ``path`` does not hold yet and return its manifest.
 
     A split counts as held once it is recorded, which comes last; folders that a
     merge left before that are removed and their splits written again.  One merge
     per corpus at a time.  Files stay within 2 GB by a row limit derived from the
-    widest row.  Without ``compact`` nothing is shuffled; with it, small files are
-    gathered and AQE splits large splits over several tasks.
+    widest row.  Nothing is shuffled: rows are written where they are read, and
+    ``compact`` then joins the small files of each new split, a bin of
+    ``target_bytes`` a task, before the split is recorded.
     """
     path = path.rstrip("/")
     if not path_exists(spark, f"{path}/{FINISHED}"):
@@ -76,7 +79,12 @@ def merge_corpus(spark: SparkSession, parts: Sequence[DataFrame], path: str, com
             fs.delete(folder, True)
     rows = without_existing(union_sources(parts), finished, KEYS)
     limit = rows_within(rows)
-    write_shards(balanced(rows, KEYS) if compact else rows, path, limit, KEYS, mode="append")
-    _record(spark, path, [k for k in split_folders(spark, path) if k not in known])
+    write_shards(rows, path, limit, KEYS, mode="append")
+    new = {k: folder.toString() for k, folder in split_folders(spark, path).items() if k not in known}
+    if compact:
+        columns = T.StructType([f for f in rows.schema if f.name not in KEYS])
+        for folder in new.values():
+            compact_folder(spark, folder, columns, target_bytes, limit)
+    _record(spark, path, list(new))
     saved = existing_keys(spark, path)
     return manifest(saved, split_key(saved))

@@ -40,6 +40,14 @@ AUDIO_BATCHES = {
 }
 
 
+def own_settings(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session with all settings of ``spark`` and these; other work in ``spark`` is not touched."""
+    session = type(spark)(spark.sparkContext, spark._jsparkSession.cloneSession())
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    return session
+
+
 @contextmanager
 def audio_batches(spark: SparkSession) -> Iterator[None]:
     """Small batches while a plan with audio runs; settings made by the user stay."""

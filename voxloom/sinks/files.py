@@ -27,19 +27,18 @@ def write_shards(df: DataFrame, path: str, rows_per_file: int, partition_by: Seq
 
 
 def row_bytes(samples: Column, text: Column) -> Column:
-    """Upper bound for the stored size of a unified row: 4 bytes per sample, text, scalars."""
-    return samples.cast("long") * 4 + F.octet_length(text) + 256
+    """Upper bound for the stored size of a unified row: 4 bytes per sample, ``text`` bytes of text, scalars."""
+    return samples.cast("long") * 4 + text + 256
 
 
-def rows_within(df: DataFrame, max_bytes: int = MAX_FILE_BYTES, samples: str = "n_samples", text: str = "text") -> int:
-    """Rows per file that keep every file within ``max_bytes``; reads two narrow columns."""
-    widest = df.agg(F.max(row_bytes(F.col(samples), F.col(text)))).head()[0]
-    return max(1, int(max_bytes // widest)) if widest else 1
-
+def rows_within(df: DataFrame, max_bytes: int = MAX_FILE_BYTES, samples: str = "n_samples", text: str = "text", chars: str = "num_chars") -> int:
+    """Rows per file that keep every file within ``max_bytes``.
 
-def balanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Gather the rows of a key for fewer, larger files; AQE splits a key that is too large for one task."""
-    return df.hint("rebalance", *[F.col(k) for k in keys])
+    Where the number of characters was stored at build, no text is read: a character takes 4 bytes at most.
+    """
+    width = F.coalesce(F.col(chars).cast("long") * 4, F.octet_length(text)) if chars in df.columns else F.octet_length(text)
+    widest = df.agg(F.max(row_bytes(F.col(samples), width))).head()[0]
+    return max(1, int(max_bytes // widest)) if widest else 1
 
 
 def write_drop_log(dropped: DataFrame, path: str, append: bool = False) -> None:

@@ -9,6 +9,7 @@ from voxloom.operators.joins import without_existing
 from voxloom.plans import merge
 from voxloom.session import scratch_path
 from voxloom.sinks import files
+from voxloom.sources.scan import read_keyed
 from voxloom.specs import spec_for
 
 from . import query
@@ -16,15 +17,21 @@ from .signals import wav_bytes
 from .tables import RATE, SQL_ANNOTATED, annotated, documents, long, table
 
 
-@query("write_shards", "SELECT source, lang AS split, count(*)::BIGINT AS n_rows, true AS within_limit FROM documents GROUP BY source, lang")
+_LIMIT = 8  # rows a file, so that the splits of the smallest tables exceed it too
+
+
+@query("write_shards", f"""
+SELECT source, lang AS split, count(*)::BIGINT AS n_rows, true AS within_limit, true AS enough_files, sum(length(text))::BIGINT AS n_chars
+FROM documents GROUP BY source, lang""")
 def write_shards(spark, d):
     """Row-limited files per split, read back."""
-    limit = spec_for("mshojaei").rows_per_file
     out = scratch_path(spark, "shards")
-    files.write_shards(documents(spark, d), out, limit, ("source", "split"))
-    per_file = spark.read.parquet(out).groupBy("source", "split", F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    files.write_shards(documents(spark, d), out, _LIMIT, ("source", "split"))
+    per_file = read_keyed(spark, out).groupBy("source", "split", F.col("_metadata.file_path").alias("f")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).alias("chars"))
     return per_file.groupBy("source", "split").agg(
-        F.sum("n").alias("n_rows"), (F.max("n") <= limit).alias("within_limit"))
+        F.sum("n").alias("n_rows"), (F.max("n") <= _LIMIT).alias("within_limit"),
+        (F.count(F.lit(1)) >= F.ceil(F.sum("n") / _LIMIT)).alias("enough_files"), F.sum("chars").alias("n_chars"))
 
 
 @query("drop_log", f"WITH {SQL_ANNOTATED} SELECT source, split, utt_id, reason FROM annotated WHERE reason IS NOT NULL")
@@ -47,14 +54,24 @@ src AS (SELECT source, lang AS split, text FROM documents UNION ALL SELECT 'conv
         UNION ALL SELECT 'pages', 'train', html FROM pages)"""
 
 
-@query("merge_corpus", f"WITH {_SQL_SOURCES} SELECT source, split, count(*)::BIGINT AS n_rows, sum(length(text))::BIGINT AS n_chars FROM src GROUP BY source, split")
+@query("merge_corpus", f"""
+WITH {_SQL_SOURCES}, sounds AS (SELECT source, lang AS split, sum(len(embedding))::BIGINT AS n_samples,
+    sum(list_sum(list_transform(embedding, lambda v: round(v::DOUBLE * 100000)::BIGINT)))::BIGINT AS digits
+  FROM documents JOIN embeddings ON vec_id = doc_id GROUP BY ALL)
+SELECT source, split, n_rows, n_chars, coalesce(n_samples, 0) AS n_samples, digits, 1::BIGINT AS n_files
+FROM (SELECT source, split, count(*)::BIGINT AS n_rows, sum(length(text))::BIGINT AS n_chars FROM src GROUP BY source, split) LEFT JOIN sounds USING (source, split)""")
 def merge_corpus(spark, d):
-    """Three text sources merged into one partitioned table, read back."""
+    """Three sources, one with waveforms, merged into one partitioned table of one file a split, read back."""
     out = scratch_path(spark, "merged")
-    parts = [p.withColumn("n_samples", F.lit(0)) for p in _text_sources(spark, d)]
+    docs, talk, pages = _text_sources(spark, d)
+    sound = table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("samples"))
+    docs = documents(spark, d).join(sound, "doc_id", "left").drop("doc_id").withColumn("sampling_rate", F.lit(RATE))
+    parts = [docs.withColumn("n_samples", F.coalesce(F.size("samples"), F.lit(0))), *[p.withColumn("n_samples", F.lit(0)) for p in (talk, pages)]]
     merge.merge_corpus(spark, parts, out, compact=True)
-    return spark.read.parquet(out).groupBy("source", "split").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(F.char_length("text")).alias("n_chars"))
+    digits = F.aggregate("samples", F.lit(0).cast("long"), lambda a, v: a + F.round(v.cast("double") * 100000).cast("long"))
+    return read_keyed(spark, out).groupBy("source", "split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.char_length("text")).alias("n_chars"), F.sum("n_samples").alias("n_samples"),
+        F.sum(digits).alias("digits"), F.count_distinct(F.col("_metadata.file_path")).alias("n_files"))
 
 
 @query("merge_skip_existing", f"""
@@ -76,7 +93,7 @@ def merge_resume(spark, d):
     merge.merge_corpus(spark, [docs], out)
     files.write_shards(talk.filter(F.length("text") % 2 == 0).drop("sampling_rate"), out, 1000, merge.KEYS, mode="append")
     merge.merge_corpus(spark, [docs, talk, pages], out)
-    return spark.read.parquet(out).groupBy("source", "split").agg(
+    return read_keyed(spark, out).groupBy("source", "split").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.char_length("text")).alias("n_chars"))
 
 
@@ -88,17 +105,29 @@ def manifest(spark, d):
     return files.manifest(rows, merge.split_key(rows))
 
 
-@query("replace_atomic", "SELECT count(*)::BIGINT AS n_rows, count(DISTINCT digest)::BIGINT AS n_texts FROM (SELECT DISTINCT md5(text) AS digest FROM documents)")
+@query("replace_atomic", """
+SELECT count(*)::BIGINT AS n_rows, count(DISTINCT digest)::BIGINT AS n_texts, sum(doc_id)::BIGINT AS ids, true AS failed_check_kept_old
+FROM (SELECT md5(text) AS digest, min(doc_id) AS doc_id FROM documents GROUP BY 1)""")
 def replace_atomic(spark, d):
-    """A saved table de-duplicated in place: written beside, checked, swapped."""
+    """A saved table de-duplicated in place: written beside, checked, swapped; first a run whose check fails."""
     path = scratch_path(spark, "replace")
     documents(spark, d).select("doc_id", F.md5("text").alias("digest")).write.parquet(path)
-
-    def check(new):
-        assert new.limit(1).count() == 1
-
-    files.replace_in_place(spark, path, dedup.keep_first(spark.read.parquet(path), ["digest"], ["doc_id"]), check)
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("digest").alias("n_texts"))
+    rows = spark.read.parquet(path).count()
+
+    def refuse(new):
+        raise ValueError("not wanted")
+
+    def unique(new):
+        assert dedup.duplicate_counts(new, ["digest"]).head().removed == 0
+
+    try:
+        files.replace_in_place(spark, path, spark.read.parquet(path).limit(0), refuse)
+    except ValueError:
+        pass
+    kept_old = spark.read.parquet(path).count() == rows
+    files.replace_in_place(spark, path, dedup.keep_first(spark.read.parquet(path), ["digest"], ["doc_id"]), unique)
+    return spark.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("digest").alias("n_texts"), F.sum("doc_id").alias("ids"), F.lit(kept_old).alias("failed_check_kept_old"))
 
 
 @query("embed_audio", """
