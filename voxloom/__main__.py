@@ -15,7 +15,8 @@ from .specs import REGISTRY, spec_for
 from .streaming.incremental import IncrementalBuild
 
 
-def _decoder(name: str | None):
+def _named(name: str | None):
+    """The function ``module:function``."""
     if not name:
         return None
     module, function = name.split(":")
@@ -27,7 +28,8 @@ def _show(df) -> None:
 
 
 def cmd_build(spark, a) -> None:
-    paths = batch.build(spark, spec_for(a.source), a.raw, f"{a.out}/{a.source}", a.smoke, _decoder(a.decoder))
+    paths = batch.build(spark, spec_for(a.source), a.raw, f"{a.out}/{a.source}", a.smoke, _named(a.decoder),
+                        _named(a.extra), a.audio_files, a.tolerant)
     staged = batch.staged(spark, paths)
     _show(report.build_report(staged))
     dropped = batch.dropped_rows(spark, paths)
@@ -37,7 +39,8 @@ def cmd_build(spark, a) -> None:
 
 
 def cmd_update(spark, a) -> None:
-    job = IncrementalBuild(spark, spec_for(a.source), a.raw, f"{a.out}/{a.source}", decoder=_decoder(a.decoder))
+    job = IncrementalBuild(spark, spec_for(a.source), a.raw, f"{a.out}/{a.source}", decoder=_named(a.decoder),
+                           extra=_named(a.extra), audio_files=a.audio_files, tolerant=a.tolerant)
     job.run(force=a.force)
     _show(job.totals())
     repair.require_good(job.kept(), spec_for(a.source).signal.target_sr)
@@ -92,8 +95,11 @@ def main(argv: list[str] | None = None) -> None:
     source, raw, out = ("source", {"choices": [s.name for s in REGISTRY]}), ("--raw", {"default": "raw"}), ("--out", {"default": "processed"})
     corpus = ("--corpus", {"default": "corpus"})
     decoder = ("--decoder", {"help": "module:function from bytes to (samples, rate), for compressed audio"})
-    command("build", cmd_build, source, raw, out, decoder, ("--smoke", {"type": int, "default": 0}))
-    command("update", cmd_update, source, raw, out, decoder, ("--force", {"action": "store_true"}))
+    ways = (decoder, ("--extra", {"help": "module:function from annotated rows to rows, run before they are routed"}),
+            ("--audio-files", {"help": "folder with the files of rows that only name one"}),
+            ("--tolerant", {"action": "store_true", "help": "pass over unreadable raw files"}))
+    command("build", cmd_build, source, raw, out, *ways, ("--smoke", {"type": int, "default": 0}))
+    command("update", cmd_update, source, raw, out, *ways, ("--force", {"action": "store_true"}))
     command("merge", cmd_merge, ("sources", {"nargs": "+"}), out, corpus, ("--compact", {"action": "store_true"}))
     command("report", cmd_report, corpus)
     command("check", cmd_check, corpus)

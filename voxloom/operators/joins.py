@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import small_side
+from ..session import materialized, small_side
+
+#: From paths to ``path, content`` of these files alone.
+Loader = Callable[[list[str]], DataFrame]
+#: Rows and bytes (as JSON) of narrow rows that are broadcast at once.
+CHUNK_ROWS, CHUNK_BYTES = 200_000, 64 << 20
 
 
 def pair_audio(meta: DataFrame, audio: DataFrame, on: Sequence[str] | str = "id") -> DataFrame:
@@ -20,38 +25,81 @@ def pair_audio(meta: DataFrame, audio: DataFrame, on: Sequence[str] | str = "id"
     return meta.join(audio, on, "inner")
 
 
-def resolve_paths(rows: DataFrame, files: DataFrame, audio: str = "audio") -> DataFrame:
+def content_chunks(rows: DataFrame, key: str, files: DataFrame, load: Loader | None = None,
+                   max_rows: int = CHUNK_ROWS, max_bytes: int = CHUNK_BYTES) -> Iterator[DataFrame]:
+    """``rows`` with the ``content`` of the file whose ``path`` is in ``key``, in as many frames as needed.
+
+    Contents never cross a shuffle: the narrow rows are counted and measured where they are, cut into chunks
+    of at most about ``max_rows`` rows and ``max_bytes``, and each chunk is broadcast against the files.  Rows
+    of one key that would overfill a chunk are dealt over all.  With ``load`` each chunk reads its own files
+    only, so every content is read once (that of a dealt key once a chunk); without it every chunk scans ``files``.
+    """
+    narrow = materialized(rows, "asked")
+    size = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in narrow.columns])))
+    n, n_bytes = narrow.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).head()
+    if not n:
+        return
+    chunks = max(-(-n // max_rows), -(-n_bytes // max_bytes))
+    if chunks > 1:
+        chunks *= 2  # hashed keys fill chunks unevenly
+        often = narrow.groupBy(key).count().filter(F.col("count") > max(1, n // chunks // 4)).select(key, F.lit(True).alias("_often"))  # at most 4 a chunk
+        dealt = narrow.withColumn("_row", F.monotonically_increasing_id()).join(F.broadcast(often), key, "left")
+        place = F.when(F.col("_often"), F.col("_row")).otherwise(F.xxhash64(key))
+        narrow = materialized(dealt.withColumn("_chunk", F.pmod(place, F.lit(chunks)).cast("int")).drop("_row", "_often"), "chunks", ["_chunk"])
+    for i in range(chunks):
+        part = narrow if chunks == 1 else narrow.filter(F.col("_chunk") == i).drop("_chunk")
+        at = files
+        if load is not None:
+            paths = [r[0] for r in part.select(key).distinct().collect()]  # within the bound of a chunk
+            if not paths:
+                continue
+            at = load(paths)
+        yield at.select(F.col("path").alias(key), "content").join(F.broadcast(part), key).select(*rows.columns, "content")
+
+
+def resolve_paths(rows: DataFrame, files: DataFrame, audio: str = "audio", load: Loader | None = None,
+                  max_rows: int = CHUNK_ROWS, max_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Fill the bytes of rows that only name a file, from ``files (path, content)``.
 
     A row's path is compared as it stands with the end of the files' paths; if no
     file ends so, its base name counts, but only if one file has it.  A name that
     several files share is no match: the row keeps no bytes, and is not repeated.
-    Rows that already hold bytes, or name no file, take no part in the join,
-    where their empty keys would meet in one task.
+    Rows that already hold bytes, or name no file, take no part in the join; the
+    others are taken out once, without their audio.  See :func:`content_chunks`;
+    beyond one chunk the filled rows are written to the shared folder chunk by chunk.
     """
-    asked = F.regexp_replace(f"{audio}.path", "^(?:\\./|/)+", "")
     holds = F.octet_length(f"{audio}.bytes") > 0
     needs = F.coalesce(~holds, F.lit(True)) & F.coalesce(F.trim(f"{audio}.path") != "", F.lit(False))
-    wanted = rows.filter(needs).select(asked.alias("_asked")).distinct()
+    others = [c for c in rows.columns if c != audio]
+    asked = F.regexp_replace("_path", "^(?:\\./|/)+", "")
+    narrow = materialized(rows.filter(needs).select(*others, F.col(f"{audio}.path").alias("_path")).withColumn("_asked", asked), "paths")
+    wanted = narrow.select("_asked").distinct()
     depth = F.size(F.split("_asked", "/"))
     depths = sorted({1} | {r[0] for r in wanted.select(depth).distinct().collect()})  # as many as folders are deep
     # Ends of the files' paths, counted before the join: a base name that many files share is one row.
     ends = files.select("path", F.explode(F.array(*[F.substring_index("path", "/", -n) for n in depths])).alias("_end"))
-    ends = ends.distinct().groupBy("_end").agg(F.count(F.lit(1)).alias("_n"), F.min("path").alias("_path"))
-    by_name = ends.select(F.col("_end").alias("_name"), F.col("_n").alias("_n_named"), F.col("_path").alias("_named"))
+    ends = ends.distinct().groupBy("_end").agg(F.count(F.lit(1)).alias("_n"), F.min("path").alias("_match"))
+    by_name = ends.select(F.col("_end").alias("_name"), F.col("_n").alias("_n_named"), F.col("_match").alias("_named"))
     matched = (
         wanted.withColumn("_name", F.substring_index("_asked", "/", -1))
         .join(ends, F.col("_asked") == F.col("_end"), "left").join(by_name, "_name", "left")
-        .select("_asked", F.when(F.col("_n") == 1, F.col("_path")).when(F.col("_n").isNull() & (F.col("_n_named") == 1), F.col("_named")).alias("_found"))
+        .select("_asked", F.when(F.col("_n") == 1, F.col("_match")).when(F.col("_n").isNull() & (F.col("_n_named") == 1), F.col("_named")).alias("_found"))
         .filter("_found IS NOT NULL")
     )
-    content = matched.join(files.select(F.col("path").alias("_found"), F.col("content").alias("_content")), "_found").select("_asked", "_content")
-    filled = (
-        rows.filter(needs).withColumn("_asked", asked).join(content, "_asked", "left")
-        .withColumn(audio, F.struct(F.col("_content").alias("bytes"), F.col(f"{audio}.path").alias("path")))
-        .select(*rows.columns)
-    )
-    return rows.filter(~needs).unionByName(filled)
+    found = narrow.join(matched, "_asked", "left")
+
+    def filled(content: Column) -> Column:
+        kind = rows.schema[audio].dataType
+        return F.struct(*[(content if f.name == "bytes" else F.col("_path") if f.name == "path" else F.lit(None).cast(f.dataType)).alias(f.name)
+                          for f in kind]).alias(audio)
+
+    def whole(df: DataFrame, content: Column) -> DataFrame:
+        return df.select(*[filled(content) if c == audio else F.col(c) for c in rows.columns])
+
+    chunks = [whole(c, F.col("content")) for c in content_chunks(found.filter("_found IS NOT NULL"), "_found", files, load, max_rows, max_bytes)]
+    if len(chunks) > 1:
+        chunks = [materialized(c, "filled") for c in chunks]
+    return reduce(DataFrame.unionByName, [rows.filter(~needs), whole(found.filter("_found IS NULL"), F.lit(None).cast("binary")), *chunks])
 
 
 def missing_audio(meta: DataFrame, audio: DataFrame, on: Sequence[str] | str = "id") -> DataFrame:

@@ -23,7 +23,7 @@ from ..operators.joins import resolve_paths
 from ..session import audio_batches
 from ..sinks.files import write_drop_log, write_shards
 from ..sources.profile import audio_field, audio_kind
-from ..sources.scan import scan_source
+from ..sources.scan import binary_content, binary_files, scan_source
 from ..specs import SignalParams, SourceSpec
 
 UNIFIED_SCHEMA = T.StructType([
@@ -152,10 +152,11 @@ def index_keys(spec: SourceSpec) -> list[str]:
 
 
 def staged_rows(raw: DataFrame, spec: SourceSpec, decoder: Decoder | None = None, base: DataFrame | None = None,
-                extra: Callable[[DataFrame], DataFrame] | None = None, audio_files: DataFrame | None = None) -> DataFrame:
+                extra: Callable[[DataFrame], DataFrame] | None = None, audio_files: DataFrame | str | None = None) -> DataFrame:
     """Unified rows plus ``source, split, reason, _status``, ready to be written.
 
-    ``audio_files`` (``path, content``) supplies the bytes of rows that only name a file.
+    ``audio_files`` (a folder, or a table ``path, content``) supplies the bytes of rows that only name a file;
+    of a folder only the named files are opened.
     ``extra`` may transform the annotated rows (for example with a row function
     through ``mapInPandas``) before they are routed.
     """
@@ -163,7 +164,9 @@ def staged_rows(raw: DataFrame, spec: SourceSpec, decoder: Decoder | None = None
     indexed = indexed.select(
         *raw.columns, identity.utt_id(F.col("source"), F.col("split"), F.col("row_index")).alias("utt_id"))
     if audio_files is not None:
-        indexed = resolve_paths(indexed, audio_files, spec.audio_col)
+        spark, folder = raw.sparkSession, isinstance(audio_files, str)
+        indexed = resolve_paths(indexed, binary_files(spark, audio_files, "*") if folder else audio_files, spec.audio_col,
+                                (lambda paths: binary_content(spark, paths)) if folder else None)
     rows = annotate(indexed, spec, decoder=decoder)
     if extra is not None:
         rows = extra(rows)
@@ -175,7 +178,7 @@ def staged_rows(raw: DataFrame, spec: SourceSpec, decoder: Decoder | None = None
 
 def build(spark: SparkSession, spec: SourceSpec, raw_root: str, out_root: str, smoke: int = 0,
           decoder: Decoder | None = None, extra: Callable[[DataFrame], DataFrame] | None = None,
-          audio_files: DataFrame | None = None, tolerant: bool = False) -> BuildPaths:
+          audio_files: DataFrame | str | None = None, tolerant: bool = False) -> BuildPaths:
     """Build a source into ``out_root`` and return where its parts are."""
     raw = scan_source(spark, spec, raw_root, tolerant=tolerant)
     if smoke:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -134,14 +134,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def materialized(df: DataFrame, label: str) -> DataFrame:
+def materialized(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """``df`` written once to the shared folder and read back, for plans that read it several times.
 
     The folder goes when the driver's JVM ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     fs, p = hadoop_path(spark, path)
     fs.deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)

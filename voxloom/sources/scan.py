@@ -158,6 +158,12 @@ def binary_files(spark: SparkSession, path: str, glob: str = "*.wav", id_column:
     )
 
 
+def binary_content(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``path, content`` of the named files alone."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return reader.load([literal_path(p) for p in paths]).select("path", "content")
+
+
 REGISTRY_SCHEMA = (
     "source string, path string, text_cols array<string>, audio_col string, rate_col string, audio_kind string, "
     "codec string, speaker_rule string, speaker string, split_rule string, index_scope string, rows_per_file int, "

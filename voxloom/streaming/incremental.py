@@ -42,7 +42,7 @@ class IncrementalBuild:
     def __init__(self, spark: SparkSession, spec: SourceSpec, raw_root: str, out_root: str,
                  schema: T.StructType | None = None, files_per_batch: int = 256, decoder: Decoder | None = None,
                  tolerant: bool = False, extra: Callable[[DataFrame], DataFrame] | None = None,
-                 audio_files: DataFrame | None = None):
+                 audio_files: DataFrame | str | None = None):
         """``tolerant`` skips unreadable files; they stay in :meth:`remaining_files`, and files read in part
         in :meth:`incomplete_files`.  ``extra`` and ``audio_files`` are those of a batch build."""
         self.spark, self.spec, self.decoder, self.tolerant = spark, spec, decoder, tolerant
