@@ -423,7 +423,7 @@ def test_nearest_vectors(spark):
 
 @pytest.mark.parametrize("spread", [None, 0.5])
 def test_nearest_vectors_in_many_lists(spark, monkeypatch, spread):
-    """Several hundred lists: the neighbours are those of brute force, without and with clusters."""
+    """Several hundred lists: with exact bounds the neighbours are those of brute force, by the ratio nine tenths of them, without and with clusters."""
     monkeypatch.setattr(ann, "TARGET_ROWS", 8)
     rng = np.random.default_rng(6)
     x = rng.normal(0, 1, (4000, 32))
@@ -431,12 +431,59 @@ def test_nearest_vectors_in_many_lists(spark, monkeypatch, spread):
         x = rng.normal(0, 1, (40, 32))[rng.integers(0, 40, 4000)] + spread * x
     x = x.astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
-    got = defaultdict(set)
-    for r in ann.search(df, df.filter("vec_id % 50 = 0")).collect():
-        got[r.query_id].add(r.vec_id)
+    got = {exact: defaultdict(set) for exact in (True, False)}
+    for exact, found in got.items():
+        for r in ann.search(df, df.filter("vec_id % 50 = 0"), exact=exact).collect():
+            found[r.query_id].add(r.vec_id)
+    hits = 0
     for q in range(0, 4000, 50):
         d = ((x.astype(float) - x[q].astype(float)) ** 2).sum(axis=1)
-        assert got[q] == set(np.argsort(d, kind="stable")[1:11].tolist())
+        want = set(np.argsort(d, kind="stable")[1:11].tolist())
+        assert got[True][q] == want and len(got[False][q]) == 10
+        hits += len(want & got[False][q])
+    assert hits >= 0.9 * 10 * 80
+
+
+def plain_nearest(rows, k):
+    clean = {(i, tuple(v)) for i, v in rows if v and len(v) == 3 and any(v) and i is not None}
+    out = {}
+    for q in {i for i, _ in clean if i % 10 == 0}:
+        scores = {}
+        for i, v in clean:
+            for own in (o for j, o in clean if j == q):
+                if i != q:
+                    scores[i] = min(scores.get(i, math.inf), math.hypot(*(a - b for a, b in zip(v, own))))
+        out[q] = [(i, d) for d, i in sorted((d, i) for i, d in scores.items())[:k]]
+    return out
+
+
+def test_nearest_vectors_of_any_size_and_equal_queries(spark, monkeypatch):
+    """Finite vectors of any size take part; a third of all rows is one vector; columns clash."""
+    monkeypatch.setattr(ann, "TARGET_ROWS", 4)
+    monkeypatch.setattr(ann, "LEAST_LISTS", 10_000)
+    rng = np.random.default_rng(7)
+    for big in (1.0, 1e25, 1e200):
+        rows = [(i, (rng.normal(size=3) * (big if i % 4 == 0 else 1.0)).tolist()) for i in range(120)] + [(i, [0.5, 0.25, -1.0]) for i in range(200, 260)]
+        rows += [(20, [0.5, 0.25, -1.0]), (20, [3.0, 0.0, 0.0]), rows[0], (300, [0.0] * 3)]
+        df = spark.createDataFrame([(i, v, 1, "x", 2.0, "y") for i, v in rows], "vec_id long, embedding array<double>, target int, v string, score double, List string")
+        got = defaultdict(list)
+        for r in ann.search(df, df.filter("vec_id % 10 = 0")).orderBy("query_id", "rank").collect():
+            got[r.query_id].append((r.vec_id, r.score))
+        want = plain_nearest(rows, 10)
+        assert set(got) == set(want)
+        for q, found in want.items():
+            assert [d for _, d in got[q]] == pytest.approx([d for _, d in found], rel=1e-9)
+            assert big > 1 or [i for i, _ in got[q]] == [i for i, _ in found]
+
+
+def test_four_vectors_two_of_them_huge(spark):
+    df = spark.createDataFrame([(0, [1e25, 2e25]), (1, [3e25, -1e25]), (2, [1.0, 2.0]), (3, [0.5, 1.0])], "vec_id long, embedding array<float>")
+    assert ann.search(df, df).count() == 12
+
+
+def test_distances_over_the_whole_range():
+    a, b = np.array([[1e300, 0.0], [1e-200, 0.0], [3.0, 0.0], [1.0, 1.0]]), np.array([[0.0, 1e300], [0.0, 1e-200], [0.0, 4.0], [1.0, 1.0]])
+    assert ann.distances(a, b).tolist() == pytest.approx([math.hypot(1e300, 1e300), math.hypot(1e-200, 1e-200), 5.0, 0.0], rel=1e-12)
 
 
 def test_pipeline_stages(spark, tmp_path):

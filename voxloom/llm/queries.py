@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom.llm import ann, bpe, importance, licenses, neardup, packing, quality, rules, secrets, sharding, tokencount, topk, trie
+from voxloom.llm.ann_sql import ANN_SQL
 from voxloom.llm.common import prepared
 from voxloom.llm.importance_sql import IMPORTANCE_SQL
 from voxloom.llm.rules_sql import RULES_SQL
@@ -97,7 +98,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-@query("op1_ann")
+@query("op1_ann", ANN_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten nearest vectors of every hundredth one, through balanced posting lists."""
     vectors = table(spark, sf_dir, "embeddings")
