@@ -24,32 +24,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import ids_and_texts, saved, text_spread
-from voxloom.llm.wordbpe import WordIds
+from voxloom.llm.wordbpe import word_ids
 
 WINDOW, END_ID = 4096, 2
 SHARD_TOKENS = 3_000_000
 MAX_BUCKETS = 65_536
 K1, B = 1.2, 0.75
+#: Neighbours sorted at once; postings are cut when fewer than this share of their documents are unused.
+FIRST, LISTED = 64, 0.85
+#: Terms that one in so many documents of a shard has are kept densely.
+DENSE = 10
 
 
 def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``doc_id, n, key, ids``: ids as little-endian unsigned 32-bit numbers, end id included."""
+    """``doc_id, n, key, wide, ids``: ids as little-endian unsigned numbers of 32 bits if ``wide``, else 16, end id included.
+
+    The last row of a task has ``df`` alone: in how many of its documents each id occurs, by id.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = WordIds(path), np.array([END_ID], "<u4")
+        words, end, df, mark = word_ids(path), np.array([END_ID], "<u4"), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, bool)
+
+        def batch_of(doc_id, n, keys, wide, ids, df) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(doc_id, pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(wide, pa.bool_()),
+                                               pa.array(ids, pa.binary()), pa.array(df, pa.binary())], ["doc_id", "n", "key", "wide", "ids", "df"])
+
         for batch in batches:
-            n, keys, ids = [], [], []
+            n, keys, wide, ids = [], [], [], []
             for t in batch["text"]:
                 x = np.concatenate([words.encode(t.as_py() or ""), end])
                 pairs = x[:-1] * np.uint32(0x9E3779B1) ^ (x[1:] * np.uint32(0x85EBCA6B))
                 n.append(len(x))
                 keys.append(int((pairs ^ (pairs >> np.uint32(15))).min()) if len(pairs) else 0)
-                ids.append(x.astype("<u2").tobytes() if len(x) and x.max() < 65536 else x.tobytes())
-            wide = [len(i) == 4 * k for i, k in zip(ids, n)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(wide), pa.array(ids, pa.binary())],
-                                             ["doc_id", "n", "key", "wide", "ids"])
+                wide.append(bool(x.max() >= 65536))
+                x = x if wide[-1] else x.astype("<u2")
+                ids.append(x.tobytes())
+                if wide[-1] and x.max() >= len(df):
+                    more = int(x.max()) + 1 - len(df)
+                    df, mark = np.concatenate([df, np.zeros(more, np.int64)]), np.zeros(len(df) + more, bool)
+                df[_distinct(x, mark)] += 1
+            yield batch_of(batch["doc_id"], n, keys, wide, ids, [None] * len(n))
+        if df.any():
+            yield batch_of([None], [None], [None], [None], [None], [df.astype("<i8").tobytes()])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, wide boolean, ids binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, wide boolean, ids binary, df binary")
 
 
 def with_shard(tokens: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
@@ -73,7 +91,15 @@ def with_shard(tokens: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame
 
 
 def _ids(table: pa.Table | pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(b.as_buffer(), "<u4" if w.as_py() else "<u2") for b, w in zip(table["ids"], table["wide"])]
+    return [np.frombuffer(b.as_buffer(), "<u4" if w.as_py() else "<u2") for b, w in zip(table["ids"], table["wide"]) if b.is_valid]
+
+
+def _distinct(ids: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Sorted distinct ids; ``mark`` is false for every id, before and after."""
+    mark[ids] = True
+    found = np.flatnonzero(mark)
+    mark[found] = False
+    return found
 
 
 #: Number of documents, their mean length, and the document frequency by token id.
@@ -81,22 +107,18 @@ Stats = tuple[int, float, np.ndarray]
 
 
 def statistics(tokens: DataFrame) -> Stats:
-    """Over all rows; frequencies are summed in each task, so no more than the vocabulary is shuffled per task."""
+    """Over all rows of :func:`tokenized`, from the frequencies of each task; no ids are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for ids in _ids(batch):
-                t = np.unique(ids)
-                if t[-1] >= len(df):
-                    df = np.concatenate([df, np.zeros(int(t[-1]) + 1 - len(df), np.int64)])
-                df[t] += 1
-        t = np.flatnonzero(df)
-        yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(df[t])], ["term", "df"])
-
-    total = tokens.agg(F.count("*").alias("docs"), F.avg("n").alias("mean")).first()
+            for counts in batch["df"]:
+                df = np.frombuffer(counts.as_buffer(), "<i8")
+                t = np.flatnonzero(df)
+                yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(df[t])], ["term", "df"])
+
+    total = tokens.agg(F.count("n").alias("docs"), F.avg("n").alias("mean")).first()
     # At most one row for each id of the vocabulary.
-    sums = tokens.select("wide", "ids").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    sums = tokens.filter("df IS NOT NULL").select("df").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
     term = sums["term"].to_numpy()
     df = np.zeros(int(term.max(initial=0)) + 1, np.int64)
     df[term] = sums["df"].to_numpy()
@@ -104,38 +126,71 @@ def statistics(tokens: DataFrame) -> Stats:
 
 
 class Index:
-    """BM25 impacts of a shard's documents, as an inverted index; statistics of these documents unless given."""
+    """BM25 impacts of a shard's documents, as an inverted index; statistics of these documents unless given.
+
+    Terms that many of the documents have are rows of a dense matrix, of a size bounded by their postings;
+    the others have posting lists.  Scores are rounded, so equal documents tie whatever the order of the sums.
+    """
 
     def __init__(self, docs: list[np.ndarray], stats: Stats | None = None):
-        terms, counts, owner = [], [], []
-        for k, ids in enumerate(docs):
-            t, c = np.unique(ids, return_counts=True)
+        self.n, top = len(docs), 1 + max(int(d.max()) for d in docs)
+        mark, place = np.zeros(top, bool), np.zeros(top, np.int64)
+        terms, counts = [], []
+        for ids in docs:
+            t = _distinct(ids, mark)
+            place[t] = np.arange(len(t))
             terms.append(t)
-            counts.append(c)
-            owner.append(np.full(len(t), k, np.int32))
-        self.edges = np.cumsum([0] + [len(t) for t in terms])
-        term, tf, doc = np.concatenate(terms), np.concatenate(counts).astype(np.float32), np.concatenate(owner)
+            counts.append(np.bincount(place[ids], minlength=len(t)))
+        lengths = np.array([len(t) for t in terms])
+        self.edges = np.cumsum(np.concatenate([[0], lengths]))
+        raw, tf, doc = np.concatenate(terms), np.concatenate(counts).astype(np.float32), np.repeat(np.arange(self.n), lengths)
         size = np.array([len(d) for d in docs], np.float32)
-        self.names, self.term = np.unique(term, return_inverse=True)
-        here = np.bincount(self.term, minlength=len(self.names))
-        n, mean, df = (len(docs), size.mean(), here) if stats is None else (stats[0], np.float32(stats[1]), stats[2][self.names])
+        names = _distinct(raw, mark)
+        place[names] = np.arange(len(names))
+        self.term = place[raw]
+        here = np.bincount(self.term, minlength=len(names))
+        n, mean, df = (self.n, size.mean(), here) if stats is None else (stats[0], np.float32(stats[1]), stats[2][names])
         idf = np.log(1 + (n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        self.impact = idf[self.term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / mean))
-        order = np.argsort(self.term, kind="stable")
-        self.doc, self.weight = doc[order], self.impact[order]
-        self.at = np.cumsum(np.concatenate([[0], here]))
-        self.n = len(docs)
+        self.impact = weight = (idf[self.term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[doc] / mean))).astype(float)
+        often = here * DENSE >= self.n
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        in_row = often[self.term]
+        self.dense = np.zeros((int(often.sum()), self.n))
+        self.dense[self.row[self.term[in_row]], doc[in_row]] = weight[in_row]
+        rare = np.flatnonzero(~in_row)
+        rare = rare[np.argsort(self.term[rare], kind="stable")]
+        self.posted, self.doc, self.weight = self.term[rare], doc[rare], weight[rare]
+        self.names = len(names)
+        self.at = np.searchsorted(self.posted, np.arange(self.names + 1))
+        self.left = np.arange(self.n)  # documents that the columns and postings stand for
+
+    def without(self, used: np.ndarray) -> None:
+        """Take used documents out of the index; scores of the others stay as they are."""
+        stay = ~used[self.left]
+        keep, column = stay[self.doc], np.cumsum(stay) - 1
+        self.doc, self.weight, self.posted = column[self.doc[keep]], self.weight[keep], self.posted[keep]
+        self.at = np.searchsorted(self.posted, np.arange(self.names + 1))
+        self.dense, self.left = np.ascontiguousarray(self.dense[:, stay]), self.left[stay]
+
+    def best_first(self, seed: int, used: np.ndarray) -> Iterator[int]:
+        """Unused documents that share terms with the seed, best first, ties in order; sorted as far as they are asked for."""
+        t = self.term[self.edges[seed]:self.edges[seed + 1]]
+        rows = self.row[t]
+        asked = np.zeros(len(self.dense))
+        asked[rows[rows >= 0]] = 1
+        rare = t[rows < 0]
+        start, times = self.at[rare], self.at[rare + 1] - self.at[rare]
+        which = np.repeat(start - (np.cumsum(times) - times), times) + np.arange(times.sum())
+        score = np.round(asked @ self.dense + np.bincount(self.doc[which], self.weight[which], len(self.left)), 6)
+        found = np.flatnonzero((score > 0) & ~used[self.left])
+        while len(found):
+            falling = -score[found]
+            near = falling <= np.partition(falling, FIRST)[FIRST] if len(found) > 2 * FIRST else np.ones(len(found), bool)
+            yield from self.left[found[near][np.argsort(falling[near], kind="stable")]]
+            found = found[~near]
 
     def neighbours(self, seed: int, used: np.ndarray) -> np.ndarray:
-        """Unused documents that share terms with the seed, best first, ties in order."""
-        t = self.term[self.edges[seed]:self.edges[seed + 1]]
-        pieces = [slice(self.at[k], self.at[k + 1]) for k in np.sort(t)]
-        score = np.bincount(np.concatenate([self.doc[p] for p in pieces]), np.concatenate([self.weight[p] for p in pieces]), self.n)
-        found = np.flatnonzero((score > 0) & ~used)
-        # No window takes more than WINDOW documents, as each has one id at least.
-        if len(found) > WINDOW:
-            found = found[np.argsort(-score[found], kind="stable")[:WINDOW]]
-        return found[np.argsort(-score[found], kind="stable")]
+        return np.array(list(self.best_first(seed, used)), np.int64)
 
 
 def pack_shard(docs: list[np.ndarray], window: int = WINDOW, stats: Stats | None = None) -> list[tuple[int, int, int, int, int]]:
@@ -143,16 +198,16 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW, stats: Stats | None
     index = Index(docs, stats)
     used, pieces = np.zeros(len(docs), bool), []
     sequence, room, following = 0, window, 0
-    queue: list[int] = []
-    remaining = len(docs)
+    queue: Iterator[int] = iter(())
+    remaining = listed = len(docs)
     while remaining:
-        if not queue:
+        k = next(queue, None)
+        if k is None:
             while used[following]:
                 following += 1
-            queue = [following]
-            if room == window:
-                queue += [k for k in index.neighbours(following, used) if k != following]
-        k = queue.pop(0)
+            k = following
+            # A window that is open already takes the next document alone.
+            queue = index.best_first(k, used) if room == window else iter(())
         if used[k]:
             continue
         used[k] = True
@@ -166,8 +221,11 @@ def pack_shard(docs: list[np.ndarray], window: int = WINDOW, stats: Stats | None
             if not room:
                 sequence, room, cut = sequence + 1, window, True
         if cut:
+            if remaining < LISTED * listed:
+                index.without(used)
+                listed = remaining
             # The rest of a cut document seeds the next window; a window that ended evenly waits for the next seed.
-            queue = list(index.neighbours(k, used)) if room < window else []
+            queue = index.best_first(k, used) if room < window else iter(())
     return pieces
 
 
@@ -179,6 +237,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, id_col:
     """One row per piece: which ids of which document lie where.  ``ids`` are little-endian unsigned 32-bit numbers."""
     tokens = saved(tokenized(text_spread(ids_and_texts(docs, id_col, text_col)), path), "tokens")
     stats = statistics(tokens)
+    tokens = tokens.filter("n IS NOT NULL").drop("df")
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("key", "ascending"), ("n", "ascending")])

@@ -7,6 +7,7 @@ pieces in turn; pieces come again and again, so their ids are kept.
 from __future__ import annotations
 
 import re
+from functools import cache
 
 import numpy as np
 
@@ -34,9 +35,17 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@cache
+def word_ids(path: str | None = None) -> WordIds:
+    """One for each Python worker, so the pieces met by earlier tasks are known."""
+    return WordIds(path)
+
+
 class WordIds(Kept):
     """``white-space piece -> ids`` as bytes of little-endian unsigned 32-bit numbers."""
 
+    limit = 600_000  # about 120 MB a generation
+
     def __init__(self, path: str | None = None):
         super().__init__()
         quiet_tokenizers()
@@ -48,7 +57,6 @@ class WordIds(Kept):
         self.tokens = self.tokenizer.model.tokenize
         self.letters = byte_letters()
         self.packed = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
-        self.short: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -56,17 +64,17 @@ class WordIds(Kept):
     def part(self, part: str) -> bytes:
         name = part if part.isascii() and part.isprintable() else "".join(map(self.letters.__getitem__, part.encode()))
         packed = self.packed
-        out = b"".join([packed[t.id] for t in self.tokens(name)])
-        if len(part) < 4:
-            self.short[part] = out
-        return out
+        return b"".join([packed[t.id] for t in self.tokens(name)])
 
     def make(self, piece: str) -> bytes:
-        if piece.isalpha() and piece.isascii():
-            return self.part(piece.lower())
+        low = piece.lower()
+        if piece.isascii() and piece.isalpha():
+            return self.part(piece) if low == piece else self[low]
         if _BEYOND.search(piece) or "<|" in piece or len(piece) > 1000:
             return self.whole(piece)
-        return b"".join([self.short.get(p) or self.part(p) for p in _PARTS.findall(piece.lower())])
+        parts = _PARTS.findall(low)
+        # Parts are kept as pieces of their own: a word comes with many signs around it.
+        return self.part(low) if parts == [low] else b"".join([self[p] for p in parts])
 
     def encode(self, text: str) -> np.ndarray:
         if any(c in text for c in _CONTROLS):
