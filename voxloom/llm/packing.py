@@ -43,29 +43,37 @@ def tokenized(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end, df, mark = word_ids(path), np.array([END_ID], "<u4"), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, bool)
-
-        def batch_of(doc_id, n, keys, wide, ids, df) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(doc_id, pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(wide, pa.bool_()),
-                                               pa.array(ids, pa.binary()), pa.array(df, pa.binary())], ["doc_id", "n", "key", "wide", "ids", "df"])
-
+        words, end, df = word_ids(path), END_ID.to_bytes(4, "little"), np.zeros(1 << 16, np.int64)
+        names = ["doc_id", "n", "key", "wide", "ids", "df"]
         for batch in batches:
-            n, keys, wide, ids = [], [], [], []
-            for t in batch["text"]:
-                x = np.concatenate([words.encode(t.as_py() or ""), end])
-                pairs = x[:-1] * np.uint32(0x9E3779B1) ^ (x[1:] * np.uint32(0x85EBCA6B))
-                n.append(len(x))
-                keys.append(int((pairs ^ (pairs >> np.uint32(15))).min()) if len(pairs) else 0)
-                wide.append(bool(x.max() >= 65536))
-                x = x if wide[-1] else x.astype("<u2")
-                ids.append(x.tobytes())
-                if wide[-1] and x.max() >= len(df):
-                    more = int(x.max()) + 1 - len(df)
-                    df, mark = np.concatenate([df, np.zeros(more, np.int64)]), np.zeros(len(df) + more, bool)
-                df[_distinct(x, mark)] += 1
-            yield batch_of(batch["doc_id"], n, keys, wide, ids, [None] * len(n))
+            if not batch.num_rows:
+                continue
+            packed = [words.packed_ids(t or "") for t in batch["text"].to_pylist()]
+            n = np.array([len(x) for x in packed]) // 4 + 1
+            flat = np.frombuffer(b"".join([x for own in packed for x in (own, end)]), "<u4")
+            ends = np.cumsum(n)
+            starts = ends - n
+            pairs = flat * np.uint32(0x9E3779B1)
+            pairs[:-1] ^= flat[1:] * np.uint32(0x85EBCA6B)
+            pairs ^= pairs >> np.uint32(15)
+            pairs[ends - 1] = 0xFFFFFFFF  # the last id has no pair
+            keys = np.where(n > 1, np.minimum.reduceat(pairs, starts), 0)
+            top = np.maximum.reduceat(flat, starts)
+            wide = top >= 65536
+            if wide.any():
+                ids = pa.array([flat[i:j].astype("<u4" if w else "<u2").tobytes() for i, j, w in zip(starts, ends, wide)], pa.binary())
+            else:
+                offsets = np.concatenate([[0], 2 * ends]).astype(np.int32)
+                ids = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(offsets), pa.py_buffer(flat.astype("<u2"))])
+            found = distinct(flat, n)[1]
+            here = np.bincount(found, minlength=len(df))
+            here[:len(df)] += df
+            df = here
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(wide), ids,
+                                              pa.nulls(len(n), pa.binary())], names)
         if df.any():
-            yield batch_of([None], [None], [None], [None], [None], [df.astype("<i8").tobytes()])
+            none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([df.astype("<i8").tobytes()], pa.binary())], names)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, key long, wide boolean, ids binary, df binary")
 
@@ -94,12 +102,17 @@ def _ids(table: pa.Table | pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(b.as_buffer(), "<u4" if w.as_py() else "<u2") for b, w in zip(table["ids"], table["wide"]) if b.is_valid]
 
 
-def _distinct(ids: np.ndarray, mark: np.ndarray) -> np.ndarray:
-    """Sorted distinct ids; ``mark`` is false for every id, before and after."""
-    mark[ids] = True
-    found = np.flatnonzero(mark)
-    mark[found] = False
-    return found
+def distinct(flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(document, id, times)`` of the distinct ids of each document, in order; ``flat`` holds them one after the other."""
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    if len(lengths) <= 1 << 16 and flat.max(initial=0) < 1 << 16:
+        shift, keys = 16, owner.astype(np.uint32) << np.uint32(16) | flat.astype(np.uint32)
+    else:
+        shift, keys = 32, owner.astype(np.uint64) << np.uint64(32) | flat.astype(np.uint64)
+    keys.sort()
+    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, int)
+    own, times = keys[at], np.diff(np.r_[at, len(keys)])
+    return (own >> own.dtype.type(shift)).astype(np.int64), (own & own.dtype.type((1 << shift) - 1)).astype(np.int64), times
 
 
 #: Number of documents, their mean length, and the document frequency by token id.
@@ -133,20 +146,14 @@ class Index:
     """
 
     def __init__(self, docs: list[np.ndarray], stats: Stats | None = None):
-        self.n, top = len(docs), 1 + max(int(d.max()) for d in docs)
-        mark, place = np.zeros(top, bool), np.zeros(top, np.int64)
-        terms, counts = [], []
-        for ids in docs:
-            t = _distinct(ids, mark)
-            place[t] = np.arange(len(t))
-            terms.append(t)
-            counts.append(np.bincount(place[ids], minlength=len(t)))
-        lengths = np.array([len(t) for t in terms])
-        self.edges = np.cumsum(np.concatenate([[0], lengths]))
-        raw, tf, doc = np.concatenate(terms), np.concatenate(counts).astype(np.float32), np.repeat(np.arange(self.n), lengths)
-        size = np.array([len(d) for d in docs], np.float32)
-        names = _distinct(raw, mark)
-        place[names] = np.arange(len(names))
+        self.n, lengths = len(docs), np.array([len(d) for d in docs])
+        doc, raw, times = distinct(np.concatenate(docs), lengths)
+        tf, size = times.astype(np.float32), lengths.astype(np.float32)
+        self.edges = np.searchsorted(doc, np.arange(self.n + 1))
+        mark = np.zeros(int(raw.max()) + 1, bool)
+        mark[raw] = True
+        names = np.flatnonzero(mark)
+        place = np.cumsum(mark) - 1
         self.term = place[raw]
         here = np.bincount(self.term, minlength=len(names))
         n, mean, df = (self.n, size.mean(), here) if stats is None else (stats[0], np.float32(stats[1]), stats[2][names])

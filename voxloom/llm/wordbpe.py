@@ -76,7 +76,10 @@ class WordIds(Kept):
         # Parts are kept as pieces of their own: a word comes with many signs around it.
         return self.part(low) if parts == [low] else b"".join([self[p] for p in parts])
 
-    def encode(self, text: str) -> np.ndarray:
+    def packed_ids(self, text: str) -> bytes:
         if any(c in text for c in _CONTROLS):
-            return np.frombuffer(self.whole(text), "<u4")
-        return np.frombuffer(b"".join(map(self.__getitem__, text.split())), "<u4")
+            return self.whole(text)
+        return b"".join(map(self.__getitem__, text.split()))
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.packed_ids(text), "<u4")
