@@ -64,3 +64,17 @@ def test_pieces_keep_their_ids_whatever_was_kept():
     for text in ["Word word, (word) it's WORD's 12a3 été ÉTÉ, x" * 3, "naïve don't can't O'Neil 'tis ''s .'s 's", "Ünïcode-Übung 東京 word", "a" * 200 + " b"]:
         for _ in range(2):
             assert words.encode(text).tolist() == fresh.tokenizer.encode(text, add_special_tokens=False).ids == fresh.encode(text).tolist()
+
+
+def test_rows_alike_in_everything_are_dealt_out(spark):
+    """Half of all rows have one id and one text; no shard gets more than a few times its share."""
+    from pyspark.sql import functions as F
+
+    from voxloom.llm.common import prepared
+
+    prepared(spark)
+    rows = [(1, "the same words again")] * 3000 + [(i, f"other words {i} here") for i in range(3000)]
+    packed = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), shard_tokens=2000)
+    shards = [r.n for r in packed.groupBy(F.shiftright("sequence_id", 32).alias("shard")).agg(F.sum("length").alias("n")).collect()]
+    assert sum(shards) == packed.agg(F.sum("length")).first()[0] and max(shards) <= 5000
+    assert packed.filter("start = 0").count() == 6000

@@ -93,7 +93,8 @@ def with_shard(tokens: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame
         if parts[r.bucket] > 1:
             shard, filled = shard + parts[r.bucket], 0
     plan = tokens.sparkSession.createDataFrame([(b, first[b], parts[b]) for b in first], "bucket int, first long, parts int")
-    salt = F.pmod(F.xxhash64("doc_id", "n", "key"), F.col("parts"))
+    # By the row's place, so that rows alike in everything are dealt out too.
+    salt = F.pmod(F.xxhash64("doc_id", "n", "key", F.monotonically_increasing_id()), F.col("parts"))
     # Bounded by the number of buckets.
     return bucketed.join(F.broadcast(plan), "bucket").withColumn("shard", F.col("first") + salt).drop("bucket", "first", "parts")
 
