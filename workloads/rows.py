@@ -186,13 +186,11 @@ def check_sample(spark, d):
     return documents(spark, d).select("doc_id", "source", "split").orderBy("doc_id").limit(50)
 
 
-@query("next_index", """
-SELECT source, max(doc_id) + 1 AS next_index FROM documents WHERE lang = 'en' GROUP BY source
-UNION ALL SELECT source, 0 FROM documents GROUP BY source HAVING count_if(lang = 'en') = 0""")
+@query("next_index", "SELECT source, lang AS split, max(doc_id) + 1 AS next_index FROM documents GROUP BY source, lang")
 def next_index(spark, d):
-    """First free index of the English split of every source, read back from ids."""
-    ids = documents(spark, d).select("source", identity.utt_id(F.col("source"), F.col("split"), F.col("doc_id")).alias("utt_id"))
-    return identity.next_index(ids, F.concat("source", F.lit("_en_")), ["source"])
+    """First free index of every split, read back from ids."""
+    ids = documents(spark, d).select("source", "split", identity.utt_id(F.col("source"), F.col("split"), F.col("doc_id")).alias("utt_id"))
+    return identity.next_index(ids, F.concat_ws("_", "source", "split", F.lit("")), ["source", "split"])
 
 
 @query("check_unique", """
