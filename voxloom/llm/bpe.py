@@ -7,8 +7,15 @@ is added that leads where ``b`` led from s.  What remains are exactly the token
 produce, so a word has one path, whose labels are its tokens.  A copy differs from its state in one arc
 only, so states are kept as (copied from, arc removed, merge at which it was made).
 
-Words are cut by the vocabulary's pattern; each is read by table-driven transitions, longest arc first,
-with a step back where the path ends.  Decoding emits the labels of the arcs.
+A word is read byte by byte.  The token automaton is made deterministic over bytes by subset construction:
+a state is the set of unfinished arcs, each a prefix of some label and the token state it leaves.  Every prefix of
+a word has one path, so exactly one arc ends at each byte; a transition is (state, byte) -> (state, token
+that ends here).  Transitions enter the table when they are first met; the table is bounded and started anew
+when full.  The tokens are read off from the last byte back.  Work grows with the length of the word.
+
+Words are cut by the vocabulary's pattern; which characters are letters, numbers and white space is asked of the
+tokenizers library, once for each character met, as its Unicode tables differ from Python's.  Decoding emits the
+labels of the arcs.
 
 Nulls: a null text is empty and has no ids; ids of documents are passed through; repeated rows give
 repeated results; texts and words of any length are read whole; an empty table gives an empty result.
@@ -19,16 +26,18 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from functools import lru_cache
 
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import Kept, ids_and_texts, per_text
 from voxloom.llm.wordbpe import byte_letters
 
+#: Arcs kept by state and token, and states of the byte table.
 KEPT = 250_000
+STATES = 100_000
 
 
 class Automaton:
@@ -44,11 +53,49 @@ class Automaton:
         labels = sorted(self.number, key=self.number.__getitem__)
         self.label = labels
         self.outside = [ids[x] for x in labels]
-        self.longest = max(map(len, labels))
         self.known: dict[tuple[int, int], bool] = {}
+        self.children: dict[int, int] = {}  # node of the labels' trie and byte -> node
+        self.ends: list[int] = [-1]  # node -> token whose label it spells
+        for token, label in enumerate(labels):
+            node = 0
+            for b in label:
+                key = node << 8 | b
+                node = self.children.get(key) or self.children.setdefault(key, len(self.ends))
+                if node == len(self.ends):
+                    self.ends.append(-1)
+            self.ends[node] = token
+        self._fresh_table()
+
+    def _fresh_table(self) -> None:
+        self.rows: dict[tuple[int, ...], dict] = {}
+        self.start = self._row((0, 0))
+
+    def _row(self, state: tuple[int, ...]) -> dict:
+        """The table row of a byte state, given as node, token state, node, token state, ...; -1 holds the state."""
+        row = self.rows.get(state)
+        if row is None:
+            row = self.rows[state] = {-1: state}
+        return row
+
+    def _transition(self, row: dict, byte: int) -> tuple[dict, int]:
+        """Extend every unfinished arc by ``byte``; the one that ends in a label its state allows is the token here."""
+        state, children, ends = row[-1], self.children, self.ends
+        token, after = -1, []
+        for i in range(0, len(state), 2):
+            node = children.get(state[i] << 8 | byte)
+            if node is not None:
+                after += (node, state[i + 1])
+                if token < 0 and ends[node] >= 0 and self.arc(state[i + 1], ends[node]):
+                    token = ends[node]
+        if len(self.rows) >= STATES:
+            self._fresh_table()  # rows in use live on until the word ends
+        found = row[byte] = (self._row((*after, 0, self.leads[token])), token)
+        return found
 
     def _gadget(self, rank: int, a: bytes, b: bytes) -> None:
-        u, v = self.number[a], self.number[b]
+        u, v = self.number.get(a), self.number.get(b)
+        if u is None or v is None:
+            return  # a half that no path has
         s = self.leads[u]
         token = self.number.get(a + b)
         if not self._arc(s, v):
@@ -86,32 +133,41 @@ class Automaton:
         return found
 
     def path(self, word: bytes) -> list[int]:
-        """The tokens of the word's one path.  A place whose arcs all fail is never tried again, so the
-        work grows with the word's length times the longest label."""
-        n, number, longest = len(word), self.number, self.longest
-        tokens: list[int] = []
-        ends = [0]
-        dead: set[tuple[int, int]] = set()
-        at, state, size = 0, 0, min(longest, n)
-        while at < n:
-            while size:
-                t = number.get(word[at:at + size])
-                if t is not None and (at + size, self.leads[t]) not in dead and self.arc(state, t):
-                    break
-                size -= 1
-            if size:
-                tokens.append(t)
-                at, state = at + size, self.leads[t]
-                ends.append(at)
-                size = min(longest, n - at)
-            else:
-                dead.add((at, state))
-                ends.pop()
-                t = tokens.pop()
-                at = ends[-1]
-                state = self.leads[tokens[-1]] if tokens else 0
-                size = len(self.label[t]) - 1
-        return [self.outside[t] for t in tokens]
+        """The tokens of the word's one path: a table step for each byte, then back from the last byte."""
+        row, last = self.start, []
+        for byte in word:
+            found = row.get(byte)
+            if found is None:
+                found = self._transition(row, byte)
+            row, token = found
+            last.append(token)
+        at, tokens = len(word), []
+        while at:
+            token = last[at - 1]
+            tokens.append(self.outside[token])
+            at -= len(self.label[token])
+        tokens.reverse()
+        return tokens
+
+
+class Classes(dict):
+    """``code point -> stand-in`` of the same class by the library's pre-tokenizer, for ``str.translate``.
+
+    Printable ASCII stands for itself; other letters become ``\xc0``, numbers ``0``, white space a tab, the rest ``!``.
+    """
+
+    def __init__(self):
+        super().__init__({c: c for c in range(0x20, 0x7f)})
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.pieces = ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        # Beside a letter, number or sign, a character of the same class stays in its piece.
+        found = next((stand for lead, stand in (("a", "\xc0"), ("1", "0"), ("!", "!")) if len(self.pieces(lead + c)) == 1), "\t")
+        self[code] = found
+        return found
 
 
 class Codec(Kept):
@@ -131,22 +187,22 @@ class Codec(Kept):
         self.automaton = Automaton([(bytes(back[c] for c in a), bytes(back[c] for c in b)) for a, b in merges], vocab)
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = special
-        self.cut = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        # The vocabulary's pattern (fixed value).
-        self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-        # The same for texts of these characters only, which the standard library matches faster.
+        self.cut = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
+        self.classes = Classes()
         latin = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-        import re
-
-        self.plain = re.compile(f"[\\x21-\\x7e\\n {latin[6:]}]*")
-        self.fast = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{latin}]+| ?[0-9]+| ?[^\\s0-9{latin}]+|\\s+(?!\\S)|\\s+")
+        # Texts of these characters need no stand-ins.
+        self.plain = re.compile(f"[\\x20-\\x7e\\t\n\r{latin[6:]}]*")
+        # The vocabulary's pattern (fixed value), over stand-ins.
+        self.words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{latin}]+| ?[0-9]+| ?[^\\s0-9{latin}]+|\\s+(?!\\S)|\\s+")
         self.arcs = {str(i): t for t, i in vocab.items()} | {str(i): t.encode() for t, i in special.items()}
 
     def make(self, word: str) -> str:
         return ",".join(map(str, self.automaton.path(word.encode())))
 
     def _words(self, text: str) -> list[str]:
-        return self.fast.findall(text) if self.plain.fullmatch(text) else self.words.findall(text)
+        if self.plain.fullmatch(text):
+            return self.words.findall(text)
+        return [text[slice(*m.span())] for m in self.words.finditer(text.translate(self.classes))]
 
     def encode(self, text: str) -> list[str]:
         """Ids as decimals; the strings of special tokens are these tokens."""
