@@ -29,7 +29,7 @@ def _show(df) -> None:
 
 def cmd_build(spark, a) -> None:
     paths = batch.build(spark, spec_for(a.source), a.raw, f"{a.out}/{a.source}", a.smoke, _named(a.decoder),
-                        _named(a.extra), a.audio_files, a.tolerant)
+                        _named(a.extra), a.audio_files, a.tolerant, a.by_schema)
     staged = batch.staged(spark, paths)
     _show(report.build_report(staged))
     dropped = batch.dropped_rows(spark, paths)
@@ -98,7 +98,8 @@ def main(argv: list[str] | None = None) -> None:
     ways = (decoder, ("--extra", {"help": "module:function from annotated rows to rows, run before they are routed"}),
             ("--audio-files", {"help": "folder with the files of rows that only name one"}),
             ("--tolerant", {"action": "store_true", "help": "pass over unreadable raw files"}))
-    command("build", cmd_build, source, raw, out, *ways, ("--smoke", {"type": int, "default": 0}))
+    command("build", cmd_build, source, raw, out, *ways, ("--smoke", {"type": int, "default": 0}),
+            ("--by-schema", {"action": "store_true", "help": "read each file with its own schema"}))
     command("update", cmd_update, source, raw, out, *ways, ("--force", {"action": "store_true"}))
     command("merge", cmd_merge, ("sources", {"nargs": "+"}), out, corpus, ("--compact", {"action": "store_true"}))
     command("report", cmd_report, corpus)

@@ -22,6 +22,7 @@ from ..operators import gates, identity
 from ..operators.joins import resolve_paths
 from ..session import audio_batches
 from ..sinks.files import write_drop_log, write_shards
+from ..sources.drift import scan_by_schema
 from ..sources.profile import audio_field, audio_kind
 from ..sources.scan import binary_content, binary_files, scan_source
 from ..specs import SignalParams, SourceSpec
@@ -178,9 +179,12 @@ def staged_rows(raw: DataFrame, spec: SourceSpec, decoder: Decoder | None = None
 
 def build(spark: SparkSession, spec: SourceSpec, raw_root: str, out_root: str, smoke: int = 0,
           decoder: Decoder | None = None, extra: Callable[[DataFrame], DataFrame] | None = None,
-          audio_files: DataFrame | str | None = None, tolerant: bool = False) -> BuildPaths:
-    """Build a source into ``out_root`` and return where its parts are."""
-    raw = scan_source(spark, spec, raw_root, tolerant=tolerant)
+          audio_files: DataFrame | str | None = None, tolerant: bool = False, by_schema: bool = False) -> BuildPaths:
+    """Build a source into ``out_root`` and return where its parts are.
+
+    ``by_schema`` reads each file with its own schema, for sources whose files differ.
+    """
+    raw = scan_by_schema(spark, spec, raw_root, tolerant=tolerant) if by_schema else scan_source(spark, spec, raw_root, tolerant=tolerant)
     if smoke:
         raw = head_of_files(raw, smoke, ["split"])
     paths = BuildPaths(out_root.rstrip("/"))

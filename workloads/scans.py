@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import signal as sig
 from voxloom.operators.joins import apply_registry, resolve_paths
-from voxloom.session import scratch_path
-from voxloom.sources import files, metadata, profile, scan
+from voxloom.session import materialized, scratch_path
+from voxloom.sources import drift, files, metadata, profile, scan
 from voxloom.specs import AUDIO_FIELDS, CONFIG_SHORT, REGISTRY, spec_for
 
 from . import query
@@ -206,6 +206,64 @@ def corrupt_files(spark, d):
         (F.count(F.lit(1)) > 0).alias("some_files"), F.sum("n_rows").cast("long").alias("n_rows"))
 
 
+@query("checked_files", """
+SELECT call, state, some_files, n_rows FROM (VALUES (1), (2), (3)) AS c(call), (
+    SELECT 'readable' AS state, true AS some_files, (SELECT count(*) FROM documents)::BIGINT AS n_rows
+    UNION ALL SELECT 'corrupt', true, 0) WHERE call < 3
+UNION ALL SELECT 3, 'readable', true, (SELECT count(*) FROM documents) + (SELECT count(*) FROM benchmark)
+UNION ALL SELECT 3, 'corrupt', true, 0""")
+def checked_files(spark, d):
+    """Verdicts on files, kept by path, length and time; the second call has nothing to open, the third only new files."""
+    root = scratch_path(spark, "checked")
+    table(spark, d, "documents").select("doc_id", "text").write.parquet(f"{root}/good")
+    table(spark, d, "events").select("props").write.text(f"{root}/bad")
+    out = None
+    for call in (1, 2, 3):
+        if call == 3:
+            table(spark, d, "benchmark").select(F.lit(0).cast("long").alias("doc_id"), "text").write.mode("append").parquet(f"{root}/good")
+        state = files.checked_files(spark, [f"{root}/good", f"{root}/bad"], "doc_id long, text string", f"{root}-verdicts").filter("state <> 'empty'")
+        part = state.groupBy("state").agg((F.count(F.lit(1)) > 0).alias("some_files"), F.sum("n_rows").cast("long").alias("n_rows"))
+        part = materialized(part.select(F.lit(call).alias("call"), "*"), "verdicts")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _drifting(spark, d):
+    """A source whose files hold ids of two widths, lack a column, and hold waveforms as lists or structs."""
+    root = scratch_path(spark, "drift")
+    folder = f"{root}/{spec_for('m522t').path}"
+    wave = F.col("embedding").cast("array<float>")
+    rows = table(spark, d, "embeddings").select("vec_id", F.concat(F.lit("text "), "vec_id").alias("sentence"), wave.alias("audio"))
+    part = rows.filter("vec_id % 3 = 0")
+    part.write.mode("append").parquet(folder)
+    part = rows.filter("vec_id % 3 = 1").withColumn("vec_id", F.col("vec_id").cast("int"))
+    part.withColumn("audio", F.struct(F.col("audio").alias("array"), F.lit(16000).alias("sampling_rate"))).write.mode("append").parquet(folder)
+    rows.filter("vec_id % 3 = 2").drop("sentence").write.mode("append").parquet(folder)
+    return root, folder
+
+
+@query("schema_groups", """
+SELECT 'm522t' AS source, vec_id % 3 = 1 AS is_struct, vec_id % 3 <> 2 AS has_text, true AS some_files, count(*)::BIGINT AS n_rows
+FROM embeddings GROUP BY ALL""")
+def schema_groups(spark, d):
+    """Files grouped by the schema in their footers."""
+    _, folder = _drifting(spark, d)
+    groups = drift.schema_groups(drift.footers(spark, folder).withColumn("source", F.lit("m522t")).filter("n_rows > 0"), "source")
+    return groups.select("source", F.contains("schema", F.lit("sampling_rate")).alias("is_struct"),
+                         F.contains("schema", F.lit("sentence")).alias("has_text"), (F.col("n_files") > 0).alias("some_files"), "n_rows")
+
+
+@query("scan_by_schema", """
+SELECT vec_id, CASE WHEN vec_id % 3 <> 2 THEN 'text ' || vec_id END AS sentence, 16000.0::DOUBLE AS rate, len(embedding)::BIGINT AS n_samples
+FROM embeddings""")
+def scan_by_schema(spark, d):
+    """The same files read as one table, each with its own schema."""
+    root, _ = _drifting(spark, d)
+    rows = drift.scan_by_schema(spark, spec_for("m522t"), root, known=f"{root}-footers")
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), "sentence", F.col("audio.sampling_rate").alias("rate"),
+                       long(F.size("audio.array"), "n_samples"))
+
+
 @query("apply_registry", f"""
 WITH {SQL_SETTINGS}
 SELECT source, lang AS split, max(s.max_s) AS max_s, max(s.sr)::BIGINT AS target_sr, max(s.min_run)::BIGINT AS min_run, count(*)::BIGINT AS n_rows
