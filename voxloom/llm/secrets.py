@@ -6,12 +6,15 @@ and its surroundings; candidates it accepts that no base finding touches are add
 
 A candidate of more than 40 characters is shown whole (its ends) and in overlapping parts; its best score counts.
 
-The network is trained here, on labelled findings: secrets and harmless look-alikes drawn by a seeded
-generator in contexts taken from a bounded sample of texts, and the base findings and plain words of
-that sample.  Candidates of the sample that no base finding touches are harmless examples only if they
-are words and short numbers joined by separators; all others are left out.  Scores are calibrated by a logistic map on held-out findings, and the threshold is the
-highest that keeps :data:`RECALL` of the held-out secrets, each scored as the scan finds it: by its best
-candidate, or as missed if it has none.
+The network is trained here, on labelled findings of every text: all its base findings and plain words,
+and at least one secret or harmless look-alike that a generator, seeded by the row, sets into it.  Candidates
+that no base finding touches are harmless examples only if they are words and short numbers joined by
+separators; all others are left out.  Training starts from examples in a fixed text and makes :data:`ROUNDS`
+rounds over the examples of the table: tasks of about :data:`SHARE` examples go over theirs from the same
+weights, and the weights are averaged.  Which task gets an example depends on its row only, so the result
+does not depend on how the table is stored.  Every fifth example is held out.  Scores are calibrated by a logistic map on
+all held-out findings, and the threshold is the highest that keeps :data:`RECALL` of all held-out secrets,
+each scored as the scan finds it: by its best candidate, or as missed if it has none.
 
 Nulls: a null text counts as empty and has no findings; ids are passed through, repeated rows give
 repeated results, texts of any length are read whole, an empty table gives an empty result.  Extra
@@ -20,16 +23,20 @@ columns are ignored by :func:`scan`; :func:`masked` returns all columns.
 
 from __future__ import annotations
 
-import hashlib
 import re
 import string
+import zlib
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import bounded_sample, col, fresh, ids_and_texts, per_text
+from voxloom.llm.common import col, fresh, ids_and_texts, per_text, saved
+from voxloom.operators.ranks import values_at
 
 # The contract's patterns (fixed values); (?a) keeps "either case" to ASCII letters.
 ASSIGN = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -47,8 +54,15 @@ STRIDE = 20
 WIDTH = BEFORE + INSIDE + AFTER
 SYMBOLS, EMBED, FILTERS, TAPS = 100, 8, 24, 5
 RECALL = 0.995
-#: Bound of the texts that give contexts and labelled findings for training.
-MAX_TEXTS = 400
+#: Generated examples: at least one for every text, at least so many in all; and runs with parts, one for so many others.
+LEAST, RUNS = 6000, 6
+#: Rounds over the examples, and about how many of them a task goes over.
+ROUNDS, SHARE = 2, 8192
+#: Examples that are in memory together.
+BLOCK = 8192
+#: Where training starts, and the context of an empty table.
+PLAIN = "a text with a few plain words"
+TRAINED, HELD, SECRET = range(3)
 
 Span = tuple[str, int, int]
 
@@ -112,15 +126,17 @@ class Net:
         out = [self._forward(x[i:i + 256])[-1] for i in range(0, len(x), 256)]
         return np.concatenate(out) if out else np.zeros(0)
 
-    def train(self, x: np.ndarray, y: np.ndarray, steps: int = 400, batch: int = 64) -> None:
-        r = np.random.default_rng(6)
+    def _mover(self, rate: float) -> Callable[[np.ndarray, np.ndarray, np.ndarray | float], None]:
+        """One step of Adam on a batch ``(x, y, weight)``; the moments live as long as the function."""
         m, v = ({k: np.zeros_like(a) for k, a in self.p.items()} for _ in range(2))
-        good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-        for t in range(1, steps + 1):
-            pick = np.concatenate([r.choice(good, batch // 2), r.choice(bad, batch // 2)])
-            xb, yb = x[pick], y[pick]
+        t = 0
+
+        def move(xb: np.ndarray, yb: np.ndarray, weight: np.ndarray | float = 1.0) -> None:
+            nonlocal t
+            t += 1
+            batch = len(yb)
             cols, h, top, pooled, z = self._forward(xb)
-            dz = (1 / (1 + np.exp(-z)) - yb) / batch
+            dz = (1 / (1 + np.exp(-z)) - yb) * weight / batch
             g = {"o": pooled.T @ dz, "ob": np.array([dz.sum()])}
             dp = np.outer(dz, self.p["o"])
             dh = np.repeat(dp[:, None, FILTERS:] / h.shape[1], h.shape[1], axis=1)
@@ -137,32 +153,68 @@ class Net:
             for k in self.p:
                 m[k] = 0.9 * m[k] + 0.1 * g[k]
                 v[k] = 0.999 * v[k] + 0.001 * g[k] ** 2
-                self.p[k] -= 0.01 * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.999 ** t)) + 1e-8)
+                self.p[k] = self.p[k] - rate * (m[k] / (1 - 0.9 ** t)) / (np.sqrt(v[k] / (1 - 0.999 ** t)) + 1e-8)
 
-    def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Logistic map of held-out logits by gradient steps."""
-        z = self.logits(x)
-        a, b = 1.0, 0.0
+        return move
+
+    def train(self, x: np.ndarray, y: np.ndarray, steps: int = 400, batch: int = 64) -> None:
+        r, move = np.random.default_rng(6), self._mover(0.01)
+        good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+        for _ in range(steps):
+            pick = np.concatenate([r.choice(good, batch // 2), r.choice(bad, batch // 2)])
+            move(x[pick], y[pick])
+
+    def go_over(self, blocks: Iterator[tuple[np.ndarray, np.ndarray]], batch: int = 64) -> int:
+        """Every example of the blocks once, both labels of a block with the same weight; returns their number."""
+        r, move, n = np.random.default_rng(7), self._mover(0.003), 0
+        for x, y in blocks:
+            share = np.bincount(y, minlength=2)
+            weight = len(y) / (2 * np.maximum(share, 1))[y] if share.all() else np.ones(len(y))
+            order = r.permutation(len(y))
+            for lo in range(0, len(y), batch):
+                pick = order[lo:lo + batch]
+                move(x[pick], y[pick], weight[pick])
+            n += len(y)
+        return n
+
+    def weights(self) -> np.ndarray:
+        return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
+
+    def set_weights(self, flat: np.ndarray) -> None:
+        for k in sorted(self.p):
+            self.p[k], flat = flat[:self.p[k].size].reshape(self.p[k].shape).copy(), flat[self.p[k].size:]
+
+    def calibrate(self, z: np.ndarray, y: np.ndarray, n: np.ndarray) -> None:
+        """Logistic map of held-out logits by gradient steps; ``n`` counts the findings with logit ``z`` and label ``y``."""
+        a, b, n = 1.0, 0.0, n / max(1, n.sum())
         for _ in range(500):
             q = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-            a -= 0.05 * np.mean((q - y) * z) / max(1.0, np.mean(z * z))
-            b -= 0.05 * np.mean(q - y)
+            a -= 0.05 * np.sum(n * (q - y) * z) / max(1.0, np.sum(n * z * z))
+            b -= 0.05 * np.sum(n * (q - y))
         self.slope, self.shift = a, b
 
     def limit(self, secret: np.ndarray) -> None:
         """The recall-constrained threshold from the scores of held-out secrets, -1 where the scan has no candidate."""
         secret = np.sort(secret)
-        if (secret >= 0).any():
-            # At most this many may fall below.  If more have no candidate, every one that has is kept.
-            self.threshold = float(max(secret[int(len(secret) * (1 - RECALL))], secret[secret >= 0][0]))
+        at = limit_rank(len(secret), int((secret < 0).sum()))
+        if at < len(secret):
+            self.threshold = float(secret[at])
             self.recall = float((secret >= self.threshold).mean())
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.logits(x) + self.shift, -30, 30)))
 
 
-def _generated(r: np.random.Generator, contexts: list[str], n: int) -> tuple[list[tuple[str, int, int]], list[int]]:
-    """Labelled findings ``(text, start, end)``: half secrets, half look-alikes, each inside a context."""
+def limit_rank(n: int, missing: int) -> int:
+    """Place of the threshold among ``n`` sorted scores, those without a candidate first.
+
+    At most this many may fall below.  If more have no candidate, every one that has is kept.
+    """
+    return max(int(n * (1 - RECALL)), missing)
+
+
+def _generated(r: np.random.Generator, contexts: list[str], n: int, odd: int = 0) -> tuple[list[tuple[str, int, int]], list[int]]:
+    """Labelled findings ``(text, start, end)``: half secrets, half look-alikes, each inside a context; ``odd`` 1 begins with a look-alike."""
     alphabets = (string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_uppercase + string.digits,
                  "0123456789abcdef", string.ascii_letters + string.digits + "_-")
     leads = ("", "", "token = \"", "key: ", "secret=", "auth ", "password=", "Bearer ", "api_key: '", "sk_live_", "ghp_", "xoxb-", "AKIA")
@@ -185,7 +237,7 @@ def _generated(r: np.random.Generator, contexts: list[str], n: int) -> tuple[lis
     for k in range(n):
         c = contexts[r.integers(len(contexts))]
         cut = int(r.integers(0, len(c) + 1))
-        secret = k % 2 == 0
+        secret = (k + odd) % 2 == 0
         lead = leads[r.integers(len(leads))] if secret else ("", "", "see ", "id: ", "http:/", "file ")[r.integers(6)]
         value = pick(alphabets[r.integers(len(alphabets))], int(r.integers(18, 64))) if secret else harmless()
         head = c[max(0, cut - 60):cut] + (" " if r.random() < 0.9 else "\n")
@@ -197,7 +249,7 @@ def _generated(r: np.random.Generator, contexts: list[str], n: int) -> tuple[lis
     return items, labels
 
 
-def _long_runs(r: np.random.Generator, contexts: list[str], n: int) -> list[tuple[str, int, int, tuple[int, int] | None]]:
+def _long_runs(r: np.random.Generator, contexts: list[str], n: int, odd: int = 0) -> list[tuple[str, int, int, tuple[int, int] | None]]:
     """``(text, start, end, secret)``: paths and slugs of words and numbers; every second one holds a secret."""
     chars = string.ascii_letters + string.digits
     out = []
@@ -207,7 +259,7 @@ def _long_runs(r: np.random.Generator, contexts: list[str], n: int) -> list[tupl
         between = "/-_"[r.integers(3)]
         parts = [known[r.integers(len(known))] if r.random() < 0.8 else str(r.integers(0, 2100)) for _ in range(r.integers(10, 24))]
         at = int(r.integers(0, len(parts) + 1))
-        secret = "".join(chars[i] for i in r.integers(0, len(chars), int(r.integers(24, 48)))) if j % 2 == 0 else ""
+        secret = "".join(chars[i] for i in r.integers(0, len(chars), int(r.integers(24, 48)))) if (j + odd) % 2 == 0 else ""
         head = c[:40] + " "
         first = head + "".join(p + between for p in parts[:at])
         run = first + secret + "".join(between + p for p in parts[at:])
@@ -224,47 +276,193 @@ def best_scores(text: str, found: list[tuple[int, int]], net: Net) -> np.ndarray
     return best
 
 
-def seen_as(text: str, start: int, end: int, net: Net) -> float:
-    """Best score of the candidates in ``start:end`` that the scan has, -1 if there is none."""
-    found = [(s, e) for s, e in candidates(text, base_spans(text)) if s < end and start < e]
-    return float(best_scores(text, found, net).max(initial=-1.0))
+class _Found:
+    """The base findings and candidates of a text, asked for by place."""
 
+    def __init__(self, text: str):
+        base = base_spans(text)
+        self.candidates = candidates(text, base)
+        known = {(s, e) for _, s, e in base}
+        # In each list sorted and without overlaps.
+        self.base = [[(s, e) for k, s, e in base if k == kind] for kind in KINDS[:3]]
+        self.runs = [c for c in self.candidates if c not in known]
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Net:
-    """Train on findings in at most :data:`MAX_TEXTS` texts (smallest hash of id; first 4,000 characters of
-    those give contexts) and on generated ones."""
-    d = ids_and_texts(docs, id_col, text_col)
-    rows = bounded_sample(d, "doc_id", MAX_TEXTS).select(F.substring("text", 1, 4000).alias("text")).filter("length(text) > 0").collect()
-    contexts = [r.text for r in rows] or ["a text with a few plain words"]
-    items, labels = _generated(np.random.default_rng(11), contexts, 6000)
-    for t in contexts:
-        base = base_spans(t)
-        touched = [(s, e) for _, s, e in base]
-        for s, e in candidates(t, base):
-            known = any(s < y and x < e for x, y in touched)
-            # Nobody has looked at the others; they may be secrets outside the patterns.
-            if known or HARMLESS.fullmatch(t, s, e):
-                items.append((t, s, e))
-                labels.append(int(known))
-    long = _long_runs(np.random.default_rng(12), contexts, 1000)
-    later = [k % 5 == 0 for k in range(len(long) // 2) for _ in range(2)]
-    group = [None] * len(items)
-    for (t, s, e, secret), out in zip(long, later):
+    @staticmethod
+    def _in(lists: list[list[tuple[int, int]]], start: int, end: int) -> Iterator[tuple[int, int]]:
+        for own in lists:
+            yield from own[bisect_right(own, start, key=lambda c: c[1]):bisect_left(own, end, key=lambda c: c[0])]
+
+    def is_known(self, start: int, end: int) -> bool:
+        return next(self._in(self.base, start, end), None) is not None
+
+    def views_at(self, start: int, end: int) -> Iterator[tuple[int, int]]:
+        """The views of all candidates that the scan has in ``start:end``."""
+        for c in dict.fromkeys(self._in([*self.base, self.runs], start, end)):
+            yield from views(*c)
+
+
+def _seen(text: str, spans: Iterator[tuple[int, int]] | list[tuple[int, int]]) -> bytes:
+    return b"".join(window(text, s, e).astype(np.uint8).tobytes() for s, e in spans)
+
+
+def _is_held(shown: bytes) -> bool:
+    return zlib.crc32(shown) % 5 == 0
+
+
+def labelled(text: str, seed: int, short: float, runs: float) -> Iterator[tuple[int, int, bytes]]:
+    """``(use, label, windows)`` of a text: its own findings, and ``short`` generated ones and ``runs`` runs with parts (on average).
+
+    Trained and held-out examples show one window; a held-out secret comes again with all that the scan sees of it.
+    """
+    r = np.random.default_rng(seed % (1 << 64))
+
+    def number(mean: float) -> int:
+        return int(mean) + int(r.random() < mean % 1)
+
+    def one(text: str, found: _Found | None, start: int, end: int, label: int) -> Iterator[tuple[int, int, bytes]]:
+        shown = _seen(text, [(start, end)])
+        held = _is_held(shown)
+        yield HELD if held else TRAINED, label, shown
+        if held and label:
+            yield SECRET, label, _seen(text, (found or _Found(text)).views_at(start, end))
+
+    own = _Found(text)
+    for s, e in own.candidates:
+        known = own.is_known(s, e)
+        # Nobody has looked at the others; they may be secrets outside the patterns.
+        if known or HARMLESS.fullmatch(text, s, e):
+            yield from one(text, own, s, e, int(known))
+    for item, label in zip(*_generated(r, [text], number(short), int(r.integers(2)))):
+        yield from one(item[0], None, *item[1:], label)
+    for t, s, e, secret in _long_runs(r, [text], number(runs), int(r.integers(2))):
+        held = _is_held(t.encode())
         for a, b in views(s, e)[1:]:
             seen = 0 if secret is None else min(b, secret[1]) - max(a, secret[0])
             # Views of harmless runs, and those that show most of a secret; the others are not labelled.
             if secret is None or seen >= STRIDE:
-                items.append((t, a, b))
-                labels.append(int(secret is not None))
-                group.append(out)
-    x, y = np.stack([window(*i) for i in items]), np.array(labels)
-    held = np.array([hashlib.md5(str(k).encode()).digest()[0] % 5 == 0 if g is None else g for k, g in enumerate(group)])
+                yield HELD if held else TRAINED, int(secret is not None), _seen(t, [(a, b)])
+        if held and secret:
+            yield SECRET, 1, _seen(t, _Found(t).views_at(*secret))
+
+
+def examples(docs: DataFrame) -> DataFrame:
+    """``deal, use, label, windows`` of all texts of ``doc_id, text``; ``deal`` depends on the row only."""
+    texts = docs.filter(F.length("text") > 0)
+    n = texts.count()
+    if not n:
+        n, texts = 1, docs.sparkSession.createDataFrame([(0, PLAIN)], "doc_id long, text string")
+    short = max(1.0, LEAST / n)
+    schema = pa.schema([("deal", pa.int64()), ("use", pa.int32()), ("label", pa.int32()), ("windows", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for batch in batches:
+                for seed, text in zip(batch.column("seed"), batch.column("text")):
+                    seed = seed.as_py()
+                    for k, row in enumerate(labelled(text.as_py(), seed, short, short / RUNS)):
+                        # A fixed odd number spreads the examples of a row over all tasks.
+                        yield ((seed + k * 0x9E3779B97F4A7C15 + (1 << 63)) % (1 << 64) - (1 << 63), *row)
+
+        block, size = [], 0
+        for row in rows():
+            block.append(row)
+            size += len(row[-1])
+            if size >= BLOCK * WIDTH:
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*block), schema)], schema=schema)
+                block, size = [], 0
+        if block:
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*block), schema)], schema=schema)
+
+    seeded = texts.select(F.xxhash64("doc_id", "text").alias("seed"), "text")
+    return seeded.mapInArrow(run, "deal long, use int, label int, windows binary")
+
+
+def _windows(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDTH)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Examples in blocks of one size, however the session cuts its batches."""
+    x, y = np.empty((0, WIDTH), np.uint8), np.empty(0, np.int64)
+    for batch in batches:
+        x = np.concatenate([x, _windows(batch.column("windows"))])
+        y = np.concatenate([y, batch.column("label").to_numpy().astype(np.int64)])
+        while len(y) >= BLOCK:
+            yield x[:BLOCK], y[:BLOCK]
+            x, y = x[BLOCK:], y[BLOCK:]
+    if len(y):
+        yield x, y
+
+
+def _round(net: Net, dealt: DataFrame) -> None:
+    """Each task goes over its examples from the same weights; their mean, by number of examples, is the outcome."""
+    unit = 1 << 24  # sums of integers do not depend on the order of the tasks
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Net()
+        own.set_weights(net.weights())
+        n = own.go_over(_blocks(batches))
+        if n:
+            total = [int(w) * n for w in np.rint(own.weights() * unit)]
+            yield pa.RecordBatch.from_pydict({"k": pa.array(range(len(total)), pa.int32()), "total": pa.array(total, pa.int64()), "n": pa.array([n] * len(total), pa.int64())})
+
+    sums = dealt.mapInArrow(run, "k int, total long, n long").groupBy("k").agg(
+        F.sum(F.col("total").cast("decimal(20,0)")).alias("total"), F.sum("n").alias("n"))
+    rows = sorted(sums.collect())  # one row per weight
+    if rows:
+        net.set_weights(np.array([int(r.total) / (r.n * unit) for r in rows]))
+
+
+def _calibrated(net: Net, held: DataFrame) -> None:
+    """Held-out logits are counted in cells of 1/64, at most 40 from zero."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z = net.logits(_windows(batch.column("windows")))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.rint(np.clip(z, -40, 40) * 64).astype(np.int32)), batch.column("label")], names=["z", "label"])
+
+    rows = held.mapInArrow(run, "z int, label int").groupBy("z", "label").agg(F.count(F.lit(1)).alias("n")).orderBy("z", "label").collect()
+    z, y, n = np.array([[r.z, r.label, r.n] for r in rows], float).reshape(-1, 3).T
+    net.calibrate(z / 64, y, n)
+
+
+def _limited(net: Net, secret: DataFrame) -> None:
+    """The threshold at its exact rank among the scores of all held-out secrets.
+
+    A score is cut to 32 bits, whose order is that of an integer; so no secret falls below by rounding.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shown = [len(w) // WIDTH for w in batch.column("windows").to_pylist()]
+            best = np.full(len(shown), -1.0)
+            np.maximum.at(best, np.repeat(np.arange(len(shown)), shown), net.scores(_windows(batch.column("windows"))))
+            low = best.astype(np.float32)
+            low = np.where(low > best, np.nextafter(low, np.float32(-1)), low)
+            yield pa.RecordBatch.from_arrays([pa.array(np.where(best < 0, -1, low.view(np.int32).astype(np.int64)))], names=["t"])
+
+    scores = saved(secret.mapInArrow(run, "t long"), "secret-scores")
+    n, missing = scores.agg(F.count(F.lit(1)), F.count_if(F.col("t") < 0)).head()
+    at = limit_rank(n, missing)
+    if at < n:
+        bits = values_at(scores, [at], -1, int(np.float32(1).view(np.int32)))[at]
+        net.threshold = float(np.int32(bits).view(np.float32))
+        net.recall = scores.filter(F.col("t") >= bits).count() / n
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Net:
+    """Train on the findings of all texts and on generated ones set into them."""
+    start = [e for seed in range(200) for e in labelled(PLAIN, seed, LEAST / 200, LEAST / RUNS / 200) if e[0] == TRAINED]
     net = Net()
-    net.train(x[~held], y[~held])
-    net.calibrate(x[held], y[held])
-    hidden = [items[k] for k in np.flatnonzero(held & (y == 1)) if group[k] is None]
-    hidden += [(t, *secret) for (t, _, _, secret), out in zip(long, later) if out and secret]
-    net.limit(np.array([seen_as(*i, net) for i in hidden]))
+    net.train(np.frombuffer(b"".join(e[2] for e in start), np.uint8).reshape(-1, WIDTH), np.array([e[1] for e in start]))
+    found = saved(examples(ids_and_texts(docs, id_col, text_col)), "secret-examples")
+    trained = found.filter(F.col("use") == TRAINED).select("deal", "label", "windows")
+    tasks = max(1, -(-trained.count() // SHARE))
+    for _ in range(ROUNDS):
+        _round(net, trained.repartition(tasks, "deal").sortWithinPartitions("deal", "label", "windows").select("label", "windows"))
+    _calibrated(net, found.filter(F.col("use") == HELD).select("label", "windows"))
+    _limited(net, found.filter(F.col("use") == SECRET).select("windows"))
     return net
 
 
