@@ -39,6 +39,12 @@ AUDIO_BATCHES = {
     "spark.sql.parquet.columnarReaderBatchSize": "64",
 }
 
+# Texts reach a few hundred KB; a Python worker holds a batch several times over (Arrow, pandas, the one before).
+TEXT_BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+}
+
 
 def own_settings(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     """A session with all settings of ``spark`` and these; other work in ``spark`` is not touched."""
@@ -48,6 +54,12 @@ def own_settings(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
     return session
 
 
+def text_session(spark: SparkSession) -> SparkSession:
+    """A session whose plans pass texts to Python in small batches; settings made by the user stay."""
+    made = spark.sparkContext.getConf()
+    return own_settings(spark, {k: v for k, v in TEXT_BATCHES.items() if not made.contains(k)})
+
+
 @contextmanager
 def audio_batches(spark: SparkSession) -> Iterator[None]:
     """Small batches while a plan with audio runs; settings made by the user stay."""

@@ -8,7 +8,7 @@ from voxloom.functions import signal as sig
 from voxloom.functions import text as txt
 from voxloom.operators import dedup, gates, identity, joins, quality
 from voxloom.plans.build import unified_columns
-from voxloom.session import scratch_path
+from voxloom.session import scratch_path, text_session
 from voxloom.sinks.files import write_shards
 
 from . import query
@@ -237,7 +237,8 @@ def custom_stage(spark, d):
 
     def count_breaks(batches):
         for pdf in batches:
-            yield pdf[["source"]].assign(breaks=pdf["text"].str.count("\n"))
+            # ``.str`` would tie each batch into a reference cycle that stays until Python happens to collect it.
+            yield pdf[["source"]].assign(breaks=pdf["text"].map(lambda t: t.count("\n"), na_action="ignore"))
 
-    rows = documents(spark, d).select("source", "text").mapInPandas(count_breaks, "source string, breaks long")
+    rows = documents(text_session(spark), d).select("source", "text").mapInPandas(count_breaks, "source string, breaks long")
     return rows.groupBy("source").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("breaks").alias("line_breaks"))
