@@ -13,14 +13,19 @@ from ..sources.scan import read_keyed
 
 MAX_FILE_BYTES = 2 * 1024**3  # fixed value: largest file of a merged corpus
 
+# On local disks Hadoop's file system writes a checksum file beside each file and, without its native library,
+# starts a process for each of the two that sets its mode.  The raw one does neither; Parquet's pages keep their own checksums.
+LOCAL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
 
 def write_shards(df: DataFrame, path: str, rows_per_file: int, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Snappy Parquet with at most ``rows_per_file`` rows per file and column statistics.
 
-    Rows are written where they are: waveforms do not cross a shuffle.
+    Rows are written where they are: waveforms do not cross a shuffle.  The limit may make very many
+    files, so a file costs no more than its rows and footer.
     """
     # Static: splits that are no longer in the data go, whatever the session prefers.
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "static").option("maxRecordsPerFile", rows_per_file).option("compression", "snappy")
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static").option("maxRecordsPerFile", rows_per_file).option("compression", "snappy").options(**LOCAL_FILES)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
