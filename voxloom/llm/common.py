@@ -42,6 +42,19 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers each up to which Spark may choose the join by its own guess.
+FEW_ROWS = 100_000
+
+
+def by_shuffle(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` for a join by a shuffle, unless it is known to have few ``rows``.
+
+    Spark takes the bytes of a stored table for those in memory and an array for one element, so it would
+    send a table that grows with the input, most of all an exploded one, through the driver.
+    """
+    return df if rows is not None and rows <= FEW_ROWS else df.hint("merge")
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a longer one that no column of ``df`` has (Spark ignores case)."""
     taken = {c.lower() for c in df.columns}

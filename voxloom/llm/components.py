@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import saved
+from voxloom.llm.common import by_shuffle, saved
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -13,7 +13,7 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star steps in turn: each links all neighbours of a node to the smallest of them,
     which halves long chains.  Counts and minima are combined before the shuffle, and each round is
-    written to the shared folder, so the lineage stays short.
+    written to the shared folder, so the lineage stays short.  Many links are joined by a shuffle.
     """
     edges = saved(links.filter("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "links")
     if edges.isEmpty():
@@ -22,10 +22,10 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select("v", "m")  # larger neighbours to the smallest
+        large = both.join(by_shuffle(least, 2 * seen[0]), "u").filter("v > u").select("v", "m")  # larger neighbours to the smallest
         large = large.filter("v <> m").distinct().select(F.col("m").alias("u"), "v")
         least = large.groupBy("v").agg(F.min("u").alias("m"))  # smaller neighbours, and the node, to the smallest
-        small = large.join(least, "v").select("u", "v", "m")
+        small = large.join(by_shuffle(least, 2 * seen[0]), "v").select("u", "v", "m")
         small = small.filter("u <> m").select(F.col("m").alias("a"), F.col("u").alias("b")).union(
             least.select(F.col("m").alias("a"), F.col("v").alias("b"))).distinct()
         after = saved(small.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")

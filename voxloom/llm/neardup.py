@@ -8,6 +8,8 @@
    different components inside one task, in blocks of bounded size: pairs are never emitted, only links.
 5. Every comparison goes through signature batches: it ends as soon as the posterior chance of reaching
    the threshold falls under :data:`MISS`.  Survivors are confirmed on the full sets.
+6. Tables that grow with the input (classes, buckets, pairs, labels) meet by a shuffle: by their stored size
+   Spark would broadcast them, exploded bands as well.
 
 Nulls, ties, empties: a null or wordless text has an empty set and is linked with nothing; rows with a
 null id take no part, have a null component and are kept; rows that repeat an id are one document (their
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import Kept, col, fresh, ids_and_texts, per_text, saved, text_spread
+from voxloom.llm.common import Kept, by_shuffle, col, fresh, ids_and_texts, per_text, saved, text_spread
 from voxloom.llm.components import components
 from voxloom.session import small_side
 
@@ -232,14 +234,14 @@ def _labelled(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
         same = same.withColumn("rep", F.col("first_doc"))
     else:  # an id may be the smallest of several classes; written once, so that the numbers stay
         same = saved(same.withColumn("rep", F.monotonically_increasing_id()), "names")
-    member = rows.select("doc_id", "n_shingles", "set_hash").distinct().join(same.drop("first_doc"), "set_hash", "left")
+    member = rows.select("doc_id", "n_shingles", "set_hash").distinct().join(by_shuffle(same.drop("first_doc")), "set_hash", "left")
     member = saved(member.withColumn("rep", F.coalesce("rep", "doc_id")) if unique else member, "members")
-    banded = rows.filter("n_shingles > 0").join(same.withColumnRenamed("first_doc", "doc_id"), ["doc_id", "set_hash"])
+    banded = rows.filter("n_shingles > 0").join(by_shuffle(same.withColumnRenamed("first_doc", "doc_id")), ["doc_id", "set_hash"])
     if not unique:
         banded = saved(banded.dropDuplicates(["rep"]), "representatives")
     buckets = banded.select(F.col("rep").alias("id"), "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     first = buckets.groupBy("bucket").agg(F.min("id").alias("first"), F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
-    shared = saved(buckets.join(first.filter("n > 1"), "bucket"), "buckets")
+    shared = saved(by_shuffle(buckets).join(first.filter("n > 1"), "bucket"), "buckets")
 
     # Round one: every class against the first of its bucket.
     pairs = shared.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
@@ -250,30 +252,30 @@ def _labelled(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str)
         data = sketches(base.join(small_side(sharing.withColumnRenamed("id", "doc_id"), MAX_SENT), "doc_id", "left_semi"), k, with_sets=True)
         data = data.withColumnRenamed("doc_id", "id")
     else:
-        named = banded.select("doc_id", "set_hash", F.col("rep").alias("id")).join(sharing, "id", "left_semi")
+        named = banded.select("doc_id", "set_hash", F.col("rep").alias("id")).join(by_shuffle(sharing), "id", "left_semi")
         data = sketches(base.join(small_side(named.select("doc_id").distinct(), MAX_SENT), "doc_id", "left_semi"), k, with_sets=True)
         data = data.join(named, ["doc_id", "set_hash"]).dropDuplicates(["id"])
     data = saved(data.select("id", "sig", "bands", "shingles"), "sets")
     left = data.select(F.col("id").alias("a"), F.col("sig").alias("sig_a"), F.col("shingles").alias("set_a"))
     right = data.select(F.col("id").alias("b"), F.col("sig").alias("sig_b"), F.col("shingles").alias("set_b"))
-    one = saved(_confirm_pairs(pairs.join(right, "b").join(left, "a"), percent), "links")
+    one = saved(_confirm_pairs(by_shuffle(pairs).join(right, "b").join(left, "a"), percent), "links")
     known = saved(components(one), "components")
 
     # Round two: buckets that still hold several components.
-    labelled = shared.join(known.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = shared.join(by_shuffle(known.withColumnRenamed("node", "id"), known.count()), "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
     n_blocks = F.greatest(F.ceil(F.col("size") / BLOCK_SHINGLES), F.ceil(F.col("n") / BLOCK_CLASSES)).cast("int")
     open_rows = (labelled.join(mixed, "bucket", "left_semi").withColumn("n_blocks", n_blocks)
                  .withColumn("block", F.pmod(F.xxhash64("id"), F.col("n_blocks")).cast("int")))
     # A bucket of several blocks: one task for each pair of blocks, and one for each block.
     open_rows = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-    full = open_rows.join(data, "id").select(
+    full = by_shuffle(open_rows).join(data, "id").select(
         "bucket", "band", "id", "component", "block", "sig", "bands", "shingles",
         F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"))
     two = full.groupBy("bucket", "b1", "b2").applyInArrow(_links_in_bucket(percent), "a long, b long")
     final = components(one.union(two))
 
-    return member.join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
+    return member.join(by_shuffle(final.withColumnRenamed("node", "rep"), final.count()), "rep", "left").select(
         "doc_id", "n_shingles", "set_hash", F.coalesce("component", "rep").alias("component")), unique
 
 
@@ -331,7 +333,7 @@ def keep_one(docs: DataFrame, k: int = 3, percent: int = 85, id_col: str = "doc_
     labels = saved(labels.filter("component IS NOT NULL"), "labels")
     stays = labels.groupBy("component").agg(F.min(F.struct("doc_id", "set_hash")).alias("stays"))
     gone_set, own, blank = (fresh(docs, c) for c in ("_gone_set", "_set", "_blank"))
-    leaving = labels.join(stays, "component").filter(F.struct("doc_id", "set_hash") != F.col("stays")).select(
+    leaving = labels.join(by_shuffle(stays), "component").filter(F.struct("doc_id", "set_hash") != F.col("stays")).select(
         F.col("doc_id").alias(gone), F.col("set_hash").alias(gone_set))
 
     def row():
